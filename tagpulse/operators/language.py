@@ -26,6 +26,8 @@ from tagpulse.session import shared_dir
 # --- fixed values of the trigram definition (shared with the SQL twin) ---------
 NON_LETTER_RUN = r"[^\p{L}]+"
 GRAM = 3
+# Overlapping windows of three characters whose middle one is not a space.
+TRIGRAM_WINDOW = r"(?=(.[^ ].))"
 # --------------------------------------------------------------------------------
 
 # Profiles with at most this many (lang, gram) rows are broadcast to the
@@ -36,17 +38,15 @@ MAX_BROADCAST_PROFILE_ROWS = 2_000_000
 def trigrams(text: Column | str) -> Column:
     """Array of the letter trigrams of a text (words padded with spaces).
 
-    The text becomes `` w1 w2 ... `` (lower-case letters, single spaces); all
-    3-character windows whose middle character is not a space are the padded
-    per-word trigrams.
+    The text becomes `` w1 w2 ... `` (lower-case letters, single spaces); every
+    3-character window whose middle character is not a space is a padded
+    per-word trigram.  A zero-width lookahead yields all overlapping windows
+    in one linear regex pass.
     """
     c = F.col(text) if isinstance(text, str) else text
     words = F.trim(F.regexp_replace(F.lower(c), NON_LETTER_RUN, " "))
     s = F.concat(F.lit(" "), words, F.lit(" "))
-    windows = F.transform(F.sequence(F.lit(1), F.length(s) - (GRAM - 1)),
-                          lambda i: F.substring(s, i, GRAM))
-    grams = F.filter(windows, lambda g: F.substring(g, 2, 1) != F.lit(" "))
-    return F.when(F.length(s) > GRAM - 1, grams).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(s, F.lit(TRIGRAM_WINDOW), 1)
 
 
 def train_profiles(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -64,7 +64,8 @@ def _profile_side(profiles: DataFrame, max_broadcast_rows: int) -> DataFrame:
     shared folder (lineage cut, survives executor loss), counted, and only
     broadcast when the count is under the bound.
     """
-    norms = profiles.groupBy("lang").agg(F.sum(F.col("n") * F.col("n")).alias("norm2"))
+    # Squares in double: exact while the sum stays below 2^53, no overflow beyond.
+    norms = profiles.groupBy("lang").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("norm2"))
     side = profiles.join(norms, "lang").select("gram", "lang", "n", "norm2")
     shared_dir(side.sparkSession)
     side = side.checkpoint(eager=True)
@@ -82,7 +83,7 @@ def detect(texts: DataFrame, profiles: DataFrame, id_col: str = "id", text_col:
     dots = grams.join(side, "gram").groupBy("id", "lang").agg(
         F.sum("n").alias("dot"), F.max("norm2").alias("norm2"))
     scored = dots.select("id", F.struct(
-        (F.col("dot").cast("double") / F.sqrt(F.col("norm2").cast("double"))).alias("score"),
+        (F.col("dot").cast("double") / F.sqrt("norm2")).alias("score"),
         F.col("lang").alias("lang")).alias("s"))
     return scored.groupBy("id").agg(F.max("s").alias("best")).select("id", F.col("best.lang").alias("lang"))
 

@@ -26,10 +26,13 @@ def _in_list(words) -> str:
     return "(" + ", ".join(_quote(w) for w in matchable_words(words)) + ")"
 
 
-def _trigram_list(text: str) -> str:
-    s = f"(' ' || trim(regexp_replace(lower({text}), '{NON_LETTER_RUN}', ' ', 'g')) || ' ')"
-    return (f"list_filter(list_transform(range(1, length({s}) - 1), lambda i: substring({s}, i, 3)), "
-            f"lambda g: substring(g, 2, 1) <> ' ')")
+def _padded_words(text: str) -> str:
+    return f"' ' || trim(regexp_replace(lower({text}), '{NON_LETTER_RUN}', ' ', 'g')) || ' '"
+
+
+# Trigrams of a column ``c`` that holds the padded words split into characters.
+_TRIGRAMS_OF_C = ("list_filter(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2]), "
+                  "lambda g: substring(g, 2, 1) <> ' ')")
 
 
 _CLEAN = (f"lower(regexp_replace(regexp_replace(text, '{NON_LETTER_PATTERN}', '', 'g'), "
@@ -116,12 +119,15 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM islands GROUP BY hashtag, island
         HAVING sum(np) = 1 AND count(*) > 1"""),
     "doc_grams": ((), f"""
-        SELECT lang, unnest({_trigram_list('text')}) AS gram FROM documents WHERE lang IS NOT NULL"""),
+        SELECT lang, unnest({_TRIGRAMS_OF_C}) AS gram
+        FROM (SELECT lang, string_split({_padded_words('text')}, '') AS c FROM documents WHERE lang IS NOT NULL)"""),
     "profiles": (("doc_grams",), "SELECT lang, gram, count(*) AS n FROM doc_grams GROUP BY lang, gram"),
     "profile_side": (("profiles",), """
         SELECT p.gram, p.lang, p.n, m.norm2 FROM profiles p
         JOIN (SELECT lang, sum(CAST(n AS DOUBLE) * n) AS norm2 FROM profiles GROUP BY lang) m ON p.lang = m.lang"""),
-    "post_grams": (("archive",), f"SELECT id, unnest({_trigram_list('text')}) AS gram FROM archive"),
+    "post_grams": (("archive",), f"""
+        SELECT id, unnest({_TRIGRAMS_OF_C}) AS gram
+        FROM (SELECT id, string_split({_padded_words('text')}, '') AS c FROM archive)"""),
     "detected": (("post_grams", "profile_side"), """
         SELECT id, lang FROM (
           SELECT id, lang, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang DESC) AS rn
