@@ -6,10 +6,11 @@ Here it is relational work:
 * **train**: every labelled document is cut into letter trigrams (each word
   padded with one space on both sides); ``(lang, gram) -> n`` counts form the
   profile of a language, and ``norm2 = sum(n^2)`` its squared length.
-* **score**: the trigrams of a post are joined to the profiles on ``gram``;
-  ``dot(post, lang) = sum over the post's trigram occurrences of n`` and the
-  cosine ranking is ``dot / sqrt(norm2)`` (the post's own length is the same
-  for every language).  The best language wins; ties go to the larger code.
+* **score**: ``dot(post, lang) = sum over the post's trigram occurrences of
+  n``, and the cosine ranking is ``dot / sqrt(norm2)`` (the post's own length
+  is the same for every language).  The best language wins; ties go to the
+  larger code.  Trigrams never cross a word, so the sum is taken word by word
+  against a per-word table built once from the distinct words.
 
 All counts are integers, so ``dot / sqrt(norm2)`` is one correctly rounded
 division of correctly rounded values: the ranking does not depend on the
@@ -30,9 +31,11 @@ GRAM = 3
 TRIGRAM_WINDOW = r"(?=(.[^ ].))"
 # --------------------------------------------------------------------------------
 
-# Profiles with at most this many (lang, gram) rows are broadcast to the
-# scoring join; larger ones are shuffled on ``gram`` (AQE splits hot grams).
-MAX_BROADCAST_PROFILE_ROWS = 2_000_000
+# Word-score tables with at most this many rows are broadcast to the scoring
+# join; larger ones are shuffled on ``word`` (AQE splits hot words).
+MAX_BROADCAST_WORD_ROWS = 2_000_000
+# Scores are one column per language; the language list is collected.
+MAX_LANGUAGES = 1000
 
 
 def trigrams(text: Column | str) -> Column:
@@ -49,43 +52,77 @@ def trigrams(text: Column | str) -> Column:
     return F.regexp_extract_all(s, F.lit(TRIGRAM_WINDOW), 1)
 
 
-def train_profiles(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, gram, n``: trigram counts per language (partial aggregation
-    collapses the exploded trigrams map-side)."""
-    grams = documents.where(F.col(lang_col).isNotNull()) \
-        .select(F.col(lang_col).alias("lang"), F.explode(trigrams(text_col)).alias("gram"))
-    return grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+def words(text: Column | str) -> Column:
+    """Array of the lower-case letter words of a text (no empty entries)."""
+    c = F.col(text) if isinstance(text, str) else text
+    parts = F.split(F.trim(F.regexp_replace(F.lower(c), NON_LETTER_RUN, " ")), " ")
+    return F.filter(parts, lambda w: w != F.lit(""))
 
 
-def _profile_side(profiles: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    """Profile rows with the language's ``norm2``, materialised once.
+def train_profiles(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, gram, n``: trigram counts per language.
 
-    The profile is small relative to the posts; it is checkpointed to the
-    shared folder (lineage cut, survives executor loss), counted, and only
-    broadcast when the count is under the bound.
+    Trigrams never cross a word, so the corpus is first reduced to
+    ``(lang, word) -> count`` (partial aggregation map-side), and only the
+    distinct words are cut into trigrams: ``n = sum(count * occurrences)``.
     """
-    # Squares in double: exact while the sum stays below 2^53, no overflow beyond.
+    word_counts = documents.where(F.col(lang_col).isNotNull()) \
+        .select(F.col(lang_col).alias("lang"), F.explode(words(text_col)).alias("word")) \
+        .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
+    grams = word_counts.select("lang", "c", F.explode(trigrams("word")).alias("gram"))
+    return grams.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
+
+
+def _languages(profiles: DataFrame, max_languages: int) -> list[tuple[str, float]]:
+    """``(lang, norm2)`` per language, collected: one row per language."""
     norms = profiles.groupBy("lang").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("norm2"))
-    side = profiles.join(norms, "lang").select("gram", "lang", "n", "norm2")
-    shared_dir(side.sparkSession)
-    side = side.checkpoint(eager=True)
-    if side.count() <= max_broadcast_rows:
-        side = F.broadcast(side)
-    return side
+    rows = norms.limit(max_languages + 1).collect()
+    if len(rows) > max_languages:
+        raise ValueError(f"more than {max_languages} languages in the profiles")
+    return sorted((r["lang"], r["norm2"]) for r in rows)
+
+
+def _checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Checkpoint to the shared folder, count, and broadcast only when small."""
+    shared_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def word_scores(vocabulary: DataFrame, profiles: DataFrame, langs: list[str]) -> DataFrame:
+    """``word, d0 .. dk``: for every word, the sum of its trigrams' profile
+    counts in each language (columns in ``langs`` order).  Words that share
+    no trigram with any profile are left out (they add nothing)."""
+    per_gram = profiles.groupBy("gram").agg(*[
+        F.sum(F.when(F.col("lang") == F.lit(lang), F.col("n"))).alias(f"n{i}") for i, lang in enumerate(langs)])
+    grams = vocabulary.select("word", F.explode(trigrams("word")).alias("gram"))
+    return grams.join(per_gram, "gram").groupBy("word").agg(*[
+        F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"d{i}") for i in range(len(langs))])
 
 
 def detect(texts: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text",
-           max_broadcast_rows: int = MAX_BROADCAST_PROFILE_ROWS) -> DataFrame:
+           max_broadcast_rows: int = MAX_BROADCAST_WORD_ROWS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
     """``id, lang``: the nearest language of every text that shares at least
-    one trigram with some profile."""
-    side = _profile_side(profiles, max_broadcast_rows)
-    grams = texts.select(F.col(id_col).alias("id"), F.explode(trigrams(text_col)).alias("gram"))
-    dots = grams.join(side, "gram").groupBy("id", "lang").agg(
-        F.sum("n").alias("dot"), F.max("norm2").alias("norm2"))
-    scored = dots.select("id", F.struct(
-        (F.col("dot").cast("double") / F.sqrt("norm2")).alias("score"),
-        F.col("lang").alias("lang")).alias("s"))
-    return scored.groupBy("id").agg(F.max("s").alias("best")).select("id", F.col("best.lang").alias("lang"))
+    one trigram with some profile.
+
+    ``dot(post, lang)`` is summed word by word from ``word_scores`` of the
+    distinct words of the input, which equals the sum over the post's trigram
+    occurrences.  The word table is checkpointed and broadcast below the
+    bound, otherwise joined by a shuffle on ``word`` (AQE splits hot words).
+    """
+    shared_dir(profiles.sparkSession)
+    profiles = profiles.checkpoint(eager=True)  # small; read three times below
+    langs = _languages(profiles, max_languages)
+    post_words = texts.select(F.col(id_col).alias("id"), F.explode(words(text_col)).alias("word"))
+    vocabulary = post_words.select("word").distinct()
+    scores = _checked_broadcast(word_scores(vocabulary, profiles, [l for l, _ in langs]), max_broadcast_rows)
+    dots = post_words.join(scores, "word").groupBy("id").agg(
+        *[F.sum(f"d{i}").alias(f"d{i}") for i in range(len(langs))])
+    candidates = [F.struct((F.col(f"d{i}").cast("double") / F.sqrt(F.lit(norm2))).alias("score"),
+                           F.lit(lang).alias("lang"))
+                  for i, (lang, norm2) in enumerate(langs)]
+    best = candidates[0] if len(candidates) == 1 else F.greatest(*candidates)
+    return dots.select("id", best.getField("lang").alias("lang"))
 
 
 def english_ids(detected: DataFrame, english: str = "en") -> DataFrame:

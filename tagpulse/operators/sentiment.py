@@ -1,9 +1,10 @@
 """Batch layer: English selection, cleaning, stop words, polarity scores, labels.
 
 The whole chain is one narrow projection per row (no shuffle) except the
-de-duplication of replayed posts, which is a hash aggregate on ``id`` with
-map-side partial aggregation, so a post replayed many times collapses before
-the exchange.
+de-duplication of replayed posts.  That runs last, on the smallest rows
+(English only, cleaned and stop-word-free text, one label), with map-side
+partial aggregation, so a post replayed many times collapses before the
+exchange.
 """
 
 from __future__ import annotations
@@ -21,10 +22,21 @@ POSITIVE_LABEL, NEGATIVE_LABEL, NEUTRAL_LABEL = "positive", "negative", "neutral
 
 
 def dedupe_posts(posts: DataFrame) -> DataFrame:
-    """One row per ``id`` (the smallest text when copies disagree)."""
+    """D2 on raw posts: one row per ``id`` (the smallest text when copies
+    disagree).  The batch layer uses ``dedupe_view`` instead, on smaller rows."""
     return posts.groupBy("id").agg(F.min("text").alias("text"))
 
 
+def dedupe_view(view: DataFrame) -> DataFrame:
+    """One sentiment row per ``_id`` (the smallest ``(text, sentiment)``).
+
+    Copies of a post have the same text and hence the same label, so this is
+    the same as de-duplicating the raw posts first, with less data shuffled.
+    """
+    first = view.groupBy("_id").agg(F.min(F.struct("text", "sentiment")).alias("r"))
+    return first.select("_id", "r.text", "r.sentiment")
+
+
 def english_by_column(posts: DataFrame, lang_col: str = "lang") -> DataFrame:
     """F4 (a): keep posts whose language column says English."""
     return posts.where(F.col(lang_col) == ENGLISH)
@@ -75,21 +87,23 @@ def score(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
 def score_with_lexicon_frame(stemmed: DataFrame, lexicon_df: DataFrame) -> DataFrame:
     """P10/P11 for lexicons too large to inline: tokens joined to the lexicon.
 
-    Tokens are exploded with their position, joined on ``word`` (Spark
-    broadcasts the lexicon when its size is under the broadcast threshold and
-    otherwise shuffles; AQE splits a hot word), and only the hits are counted
-    per post.  The per-post totals come from the projection, so posts with no
-    hit keep zero counts through the left join on ``id``.
+    The tokens of every distinct ``(id, text)`` are exploded and joined on
+    ``word`` (Spark broadcasts the lexicon when its size is under the
+    broadcast threshold and otherwise shuffles; AQE splits a hot word), and
+    only the hits are counted.  Totals come from the projection, and every
+    input row (copies included) gets its counts through a left join, so posts
+    without a hit keep zero counts.
     """
     words = lexicon_df.where(F.col("category").isin(POSITIVE, NEGATIVE)) \
         .select("word", (F.col("category") == POSITIVE).cast("int").alias("is_pos"),
                 (F.col("category") == NEGATIVE).cast("int").alias("is_neg")) \
         .groupBy("word").agg(F.max("is_pos").alias("is_pos"), F.max("is_neg").alias("is_neg"))
-    hits = (stemmed.select("id", F.explode(T.tokens("text")).alias("word"))
+    keys = stemmed.select("id", "text").distinct()
+    hits = (keys.select("id", "text", F.explode(T.tokens("text")).alias("word"))
             .join(words, "word")
-            .groupBy("id").agg(F.sum("is_pos").alias("pos_hits"), F.sum("is_neg").alias("neg_hits")))
+            .groupBy("id", "text").agg(F.sum("is_pos").alias("pos_hits"), F.sum("is_neg").alias("neg_hits")))
     base = stemmed.select("id", "text", F.size(T.tokens("text")).alias("n_tokens"))
-    counted = base.join(hits, "id", "left").select(
+    counted = base.join(hits, ["id", "text"], "left").select(
         "id", "text", "n_tokens",
         F.coalesce("pos_hits", F.lit(0)).cast("int").alias("pos_hits"),
         F.coalesce("neg_hits", F.lit(0)).cast("int").alias("neg_hits"),
@@ -100,8 +114,9 @@ def score_with_lexicon_frame(stemmed: DataFrame, lexicon_df: DataFrame) -> DataF
 
 def score_by_join(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
     """J1 as written in the original: a positive pass and a negative pass
-    joined on ``(id, text)``.  On de-duplicated input the join is 1:1 and the
-    result equals ``score``; kept to show that equality."""
+    joined on ``(id, text)``.  For distinct keys the join is 1:1 and the
+    result equals ``score`` (k copies of a key give k^2 rows, as in the
+    original); kept to show that equality."""
     toks = T.tokens("text")
     pos = stemmed.select("id", "text", F.size(toks).alias("n_tokens"),
                          T.count_members(toks, lexicon.words(POSITIVE)).alias("pos_hits"))
@@ -111,37 +126,42 @@ def score_by_join(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
                  .withColumn("neg_score", _ratio("neg_hits", "n_tokens"))
 
 
+def sentiment_of(pos_score, neg_score):
+    """Pos > neg -> positive; pos < neg -> negative; else neutral."""
+    return (F.when(pos_score > neg_score, F.lit(POSITIVE_LABEL))
+            .when(pos_score < neg_score, F.lit(NEGATIVE_LABEL))
+            .otherwise(F.lit(NEUTRAL_LABEL)))
+
+
 def label(scored: DataFrame) -> DataFrame:
     """P12 + P13: ``_id, text, sentiment``.
 
     Both scores share the denominator, so comparing the scores is comparing
     the hit counts.
     """
-    sentiment = (F.when(F.col("pos_score") > F.col("neg_score"), F.lit(POSITIVE_LABEL))
-                 .when(F.col("pos_score") < F.col("neg_score"), F.lit(NEGATIVE_LABEL))
-                 .otherwise(F.lit(NEUTRAL_LABEL)))
+    sentiment = sentiment_of(F.col("pos_score"), F.col("neg_score"))
     return scored.select(F.col("id").alias("_id"), "text", sentiment.alias("sentiment"))
 
 
 def scored_tweets(scored: DataFrame) -> DataFrame:
     """The declared ``ScoredTweet`` shape: ``id, text, pos_score, neg_score, type``."""
-    return label(scored).join(scored.select(F.col("id").alias("_id"), "pos_score", "neg_score"), "_id") \
-        .select(F.col("_id").alias("id"), "text", "pos_score", "neg_score", F.col("sentiment").alias("type"))
+    return scored.select("id", "text", "pos_score", "neg_score",
+                         sentiment_of(F.col("pos_score"), F.col("neg_score")).alias("type"))
 
 
 def stemmed_english(posts: DataFrame, lexicon: Lexicon, english: DataFrame | None = None) -> DataFrame:
-    """Archive posts -> de-duplicated English posts -> cleaned -> stop words out.
+    """Archive posts -> English posts -> cleaned -> stop words out (narrow).
 
     ``english`` optionally supplies the English ids (from language detection)
     instead of a ``lang`` column.
     """
     if english is None:
-        selected = dedupe_posts(english_by_column(posts))
+        selected = english_by_column(posts)
     else:
-        selected = dedupe_posts(posts).join(english, "id", "left_semi")
-    return strip_stop_words(clean(selected), lexicon)
+        selected = posts.join(english, "id", "left_semi")
+    return strip_stop_words(clean(selected.select("id", "text")), lexicon)
 
 
 def sentiment_view(posts: DataFrame, lexicon: Lexicon, english: DataFrame | None = None) -> DataFrame:
-    """The whole batch layer: ``_id, text, sentiment``."""
-    return label(score(stemmed_english(posts, lexicon, english), lexicon))
+    """The whole batch layer: ``_id, text, sentiment``, one row per ``_id``."""
+    return dedupe_view(label(score(stemmed_english(posts, lexicon, english), lexicon)))

@@ -19,7 +19,7 @@ from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
 from tagpulse.session import prepare
 from tagpulse.sources import posts as P
-from tagpulse.sources.tables import read_table
+from tagpulse.sources.tables import read_table, spread
 
 # The hashtag the single-tag serving queries ask about.
 SERVING_HASHTAG = "#click"
@@ -98,7 +98,7 @@ def q_english_filter(spark, sf_dir):
 
 
 def q_clean_text(spark, sf_dir):
-    return S.clean(S.dedupe_posts(S.english_by_column(_archive_posts(spark, sf_dir))))
+    return S.clean(S.english_by_column(_archive_posts(spark, sf_dir)).select("id", "text"))
 
 
 def q_remove_stop_words(spark, sf_dir):
@@ -183,7 +183,7 @@ def q_interval_report(spark, sf_dir):
 # ---- language identification ---------------------------------------------------------
 
 def _profiles(spark, sf_dir):
-    documents = read_table(prepare(spark), sf_dir, "documents").select("text", "lang")
+    documents = spread(read_table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
     return L.train_profiles(documents)
 
 

@@ -64,10 +64,13 @@ def _batch_chain(suffix: str, source: str) -> dict[str, tuple[tuple[str, ...], s
                       CAST(CAST(neg_hits AS DOUBLE) / n_tokens AS FLOAT) AS neg_score
             FROM {n['counted']}"""),
         n["sentiment"]: ((n["scored"],), f"""
-            SELECT id AS _id, text,
-                   CASE WHEN pos_score > neg_score THEN 'positive'
-                        WHEN pos_score < neg_score THEN 'negative' ELSE 'neutral' END AS sentiment
-            FROM {n['scored']}"""),
+            SELECT _id, r.text AS text, r.sentiment AS sentiment FROM (
+              SELECT _id, min(struct_pack(text := text, sentiment := sentiment)) AS r FROM (
+                SELECT id AS _id, text,
+                       CASE WHEN pos_score > neg_score THEN 'positive'
+                            WHEN pos_score < neg_score THEN 'negative' ELSE 'neutral' END AS sentiment
+                FROM {n['scored']})
+              GROUP BY _id)"""),
     }
 
 
@@ -98,7 +101,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT id AS _id, hashtag, created AS time FROM tagged WHERE hashtag <> ''"""),
     "archive": (("posts",), f"""
         SELECT * FROM posts WHERE regexp_matches(text, '{HASHTAG_PATTERN}')"""),
-    "english": (("archive",), "SELECT id, min(text) AS text FROM archive WHERE lang = 'en' GROUP BY id"),
+    "english": (("archive",), "SELECT id, text FROM archive WHERE lang = 'en'"),
     "timed": (("summary",), """
         SELECT _id, hashtag, time,
                COALESCE(CAST(epoch(try_strptime(time, '%a %b %d %H%M%S %Z %Y')) AS BIGINT), 0) AS timestamp
@@ -136,8 +139,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE rn = 1"""),
     # Batch layer fed by detected English instead of the lang column.
     "english_d": (("archive", "detected"), """
-        SELECT id, min(text) AS text FROM archive
-        WHERE id IN (SELECT id FROM detected WHERE lang = 'en') GROUP BY id"""),
+        SELECT id, text FROM archive
+        WHERE id IN (SELECT id FROM detected WHERE lang = 'en')"""),
 }
 _CTES.update(_batch_chain("", "english"))
 _CTES.update(_batch_chain("_d", "english_d"))

@@ -35,8 +35,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, lang, text, created`` before ingest normalisation.
 
     The document count is a scalar subquery evaluated once by Spark; the
-    event -> document lookup is an equi-join on the computed key, so the
-    planner picks broadcast or sort-merge from the table sizes (AQE).
+    event -> document lookup is a shuffled hash equi-join on the computed key.
     """
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -58,7 +57,11 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         polarity,
         F.when((F.col("k") % 10).isin(0, 1), F.lit(NO_TAG_TAIL)).otherwise(F.concat(tag, F.lit(EXTRA_TAG))),
     )
-    return keyed.join(documents, "doc_id").select(
+    # Both tables grow with the data, so this is a shuffle join at scale; the
+    # hint keeps it one at small scale too (a broadcast of ``events`` would
+    # stream the single-split ``documents`` scan through one task).  Events
+    # are the build side: fixed-width rows, the text stays on the probe side.
+    return keyed.hint("shuffle_hash").join(documents, "doc_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("lang"),
         text.alias("text"),

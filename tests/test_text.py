@@ -82,3 +82,13 @@ def test_tokens_and_members(spark):
 def test_stop_pattern_skips_unmatchable_entries():
     assert T.matchable_words(["co.", "no-one", "Up", "the", ""]) == ["the"]
     assert T.stop_word_pattern([]) is None
+
+
+def test_fast_non_letter_class_equals_original(spark):
+    rnd = random.Random(11)
+    alphabet = "aZmQ \t\n\x0b\f\r  é߀1_#:.-ÀÿΩж字\U0001F600"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(F.regexp_replace("t", T.NON_LETTER_PATTERN, "").alias("a"),
+                    F.regexp_replace("t", T.NON_LETTER_PATTERN_JAVA, "").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
