@@ -27,6 +27,7 @@ NON_LETTER_PATTERN = r"[^a-zA-Z\s]"
 # than the range form (measured on the sf0.1 text); tests check equality.
 NON_LETTER_PATTERN_JAVA = r"[^\p{Alpha}\s]"
 EDGE_SPACE_PATTERN = r"\A\s+|\s+\z"
+LETTER_PATTERN = r"[a-zA-Z]"
 # Tokens are separated by runs of whitespace.
 TOKEN_SEPARATOR = r"\s+"
 # ---------------------------------------------------------------------------
@@ -92,6 +93,15 @@ def remove_stop_words(text: Column | str, stop_words: Iterable[str]) -> Column:
     return _col(text) if pattern is None else F.regexp_replace(_col(text), pattern, " ")
 
 
+def has_letter(text: Column | str) -> Column:
+    """F5 on the raw text: ``clean_text`` is non-empty exactly when the text
+    holds an ASCII letter (the cleaner keeps letters and whitespace, then
+    strips the whitespace at both ends).  Testing it before cleaning keeps the
+    filter from re-running the cleaning regexes when Catalyst pushes it below
+    the projection."""
+    return _col(text).rlike(LETTER_PATTERN)
+
+
 def not_blank(text: Column | str) -> Column:
     """text has at least one non-whitespace character."""
     return F.length(F.regexp_replace(_col(text), EDGE_SPACE_PATTERN, "")) > 0

@@ -43,16 +43,22 @@ def english_by_column(posts: DataFrame, lang_col: str = "lang") -> DataFrame:
 
 
 def clean(posts: DataFrame) -> DataFrame:
-    """P6 + P7 + F5: ``id, text`` with the cleaned, non-empty text."""
-    return (posts.where(F.col("text").isNotNull())
-            .select("id", T.clean_text("text").alias("text"))
-            .where(F.length("text") > 0))
+    """P6 + P7 + F3 + F5: ``id, text`` with the cleaned, non-empty text.
+
+    F5 is tested on the raw text (``has_letter``), which is equivalent and
+    keeps every filter of the chain ahead of the regex work.
+    """
+    return (posts.where(F.col("text").isNotNull() & T.has_letter("text"))
+            .select("id", T.clean_text("text").alias("text")))
 
 
 def strip_stop_words(cleaned: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """P8 + F6: remove interior stop words; drop texts left blank."""
-    return (cleaned.select("id", T.remove_stop_words("text", lexicon.words(STOP)).alias("text"))
-            .where(T.not_blank("text")))
+    """P8 + F6: remove interior stop words.
+
+    F6 (not blank afterwards) needs no filter: P8 never removes the first
+    token, and ``clean`` only passes non-empty texts.
+    """
+    return cleaned.select("id", T.remove_stop_words("text", lexicon.words(STOP)).alias("text"))
 
 
 def tokenized(stemmed: DataFrame) -> DataFrame:

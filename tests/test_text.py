@@ -92,3 +92,19 @@ def test_fast_non_letter_class_equals_original(spark):
     got = df.select(F.regexp_replace("t", T.NON_LETTER_PATTERN, "").alias("a"),
                     F.regexp_replace("t", T.NON_LETTER_PATTERN_JAVA, "").alias("b")).collect()
     assert all(r["a"] == r["b"] for r in got)
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_has_letter_equals_nonempty_clean_and_f6_is_implied(spark, seed):
+    rnd = random.Random(seed)
+    alphabet = "ab Z \t\n.,1é#-_"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(600)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    cleaned = T.clean_text("t")
+    stop = T.remove_stop_words(cleaned, {"a", "b", "z"})
+    rows = df.select(T.has_letter("t").alias("h"), (F.length(cleaned) > 0).alias("c"),
+                     T.not_blank(stop).alias("nb")).collect()
+    for r in rows:
+        assert r["h"] == r["c"]
+        if r["c"]:
+            assert r["nb"]
