@@ -91,6 +91,11 @@ def q_stream_archive(spark, sf_dir):
     return result.archive()
 
 
+def q_stream_tail(spark, sf_dir):
+    from tagpulse.streaming.speed_layer import run_tail_on_posts
+    return run_tail_on_posts(prepare(spark), _posts(spark, sf_dir))
+
+
 # ---- batch layer --------------------------------------------------------------------
 
 def q_english_filter(spark, sf_dir):
@@ -212,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_archive": q_raw_archive,
     "stream_speed_layer": q_stream_speed_layer,
     "stream_archive": q_stream_archive,
+    "stream_tail": q_stream_tail,
     "english_filter": q_english_filter,
     "clean_text": q_clean_text,
     "remove_stop_words": q_remove_stop_words,

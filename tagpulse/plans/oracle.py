@@ -183,6 +183,7 @@ ORACLE_SQL: dict[str, str] = {
                  json_extract_string(value, '$.created') AS created FROM payload)
         WHERE text IS NOT NULL""", "payload"),
     "tail_texts": _with("SELECT json_extract_string(value, '$.text') AS text FROM payload", "payload"),
+    "stream_tail": _with("SELECT json_extract_string(value, '$.text') AS text FROM payload", "payload"),
     "hashtag_extract": _with("SELECT id, hashtag FROM tagged", "tagged"),
     "hashtag_summary": _with("SELECT _id, hashtag, time FROM summary", "summary"),
     "raw_archive": _with(f"""
