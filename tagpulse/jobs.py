@@ -59,7 +59,8 @@ def batch(spark: SparkSession, views: str, labelled: DataFrame | None = None,
     archive = read_archive(spark, paths["archive"])
     lexicon = lexicon or default_lexicon()
     if labelled is not None:
-        english = L.english_ids(L.detect(archive.select("id", "text"), L.train_profiles(labelled)))
+        english = L.english_ids(L.detect(archive.select("id", "text"), L.train_profiles(labelled),
+                                         L.training_vocabulary(labelled)))
         view = S.sentiment_view(archive, lexicon, english=english)
     else:
         view = S.sentiment_view(archive.withColumn("lang", F.lit("en")), lexicon)

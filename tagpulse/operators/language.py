@@ -10,7 +10,8 @@ Here it is relational work:
   n``, and the cosine ranking is ``dot / sqrt(norm2)`` (the post's own length
   is the same for every language).  The best language wins; ties go to the
   larger code.  Trigrams never cross a word, so the sum is taken word by word
-  against a per-word table built once from the distinct words.
+  against a per-word table built from the training words; other words are
+  cut into trigrams on the spot.
 
 All counts are integers, so ``dot / sqrt(norm2)`` is one correctly rounded
 division of correctly rounded values: the ranking does not depend on the
@@ -89,39 +90,74 @@ def _checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def word_scores(vocabulary: DataFrame, profiles: DataFrame, langs: list[str]) -> DataFrame:
+def training_vocabulary(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``word``: the distinct words of the labelled corpus (the words whose
+    trigrams make up the profiles)."""
+    return documents.where(F.col(lang_col).isNotNull()) \
+        .select(F.explode(words(text_col)).alias("word")).distinct()
+
+
+def per_gram_counts(profiles: DataFrame, langs: list[str]) -> DataFrame:
+    """``gram, n0 .. nk``: the profile pivoted to one row per trigram."""
+    return profiles.groupBy("gram").agg(*[
+        F.coalesce(F.sum(F.when(F.col("lang") == F.lit(lang), F.col("n"))), F.lit(0)).alias(f"n{i}")
+        for i, lang in enumerate(langs)])
+
+
+def word_scores(vocabulary: DataFrame, per_gram: DataFrame, k: int) -> DataFrame:
     """``word, d0 .. dk``: for every word, the sum of its trigrams' profile
-    counts in each language (columns in ``langs`` order).  Words that share
-    no trigram with any profile are left out (they add nothing)."""
-    per_gram = profiles.groupBy("gram").agg(*[
-        F.sum(F.when(F.col("lang") == F.lit(lang), F.col("n"))).alias(f"n{i}") for i, lang in enumerate(langs)])
+    counts in each language.  Words that share no trigram with any profile
+    are left out (they add nothing)."""
     grams = vocabulary.select("word", F.explode(trigrams("word")).alias("gram"))
-    return grams.join(per_gram, "gram").groupBy("word").agg(*[
-        F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"d{i}") for i in range(len(langs))])
+    return grams.join(per_gram, "gram").groupBy("word").agg(
+        *[F.sum(f"n{i}").alias(f"d{i}") for i in range(k)])
 
 
-def detect(texts: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text",
+def detect(texts: DataFrame, profiles: DataFrame, vocabulary: DataFrame | None = None,
+           id_col: str = "id", text_col: str = "text",
            max_broadcast_rows: int = MAX_BROADCAST_WORD_ROWS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
     """``id, lang``: the nearest language of every text that shares at least
     one trigram with some profile.
 
-    ``dot(post, lang)`` is summed word by word from ``word_scores`` of the
-    distinct words of the input, which equals the sum over the post's trigram
-    occurrences.  The word table is checkpointed and broadcast below the
-    bound, otherwise joined by a shuffle on ``word`` (AQE splits hot words).
+    Without ``vocabulary``, the word table is built from the distinct words
+    of the texts (a first pass) and joined to every word occurrence (a second
+    pass): the cheaper plan while the texts are of the order of the labelled
+    corpus.  With ``vocabulary`` (normally the training words) the texts are
+    read once: a word takes its scores from that table, and a word outside it
+    is cut into trigrams on the spot and scored against the per-gram profile;
+    preferable when the texts are far larger than the labelled corpus.
+    Tables are checkpointed, counted and broadcast only under the bound
+    (otherwise shuffle joins with AQE skew splitting).  Either way the
+    per-post sums equal the sums over the post's trigram occurrences.
     """
     shared_dir(profiles.sparkSession)
-    profiles = profiles.checkpoint(eager=True)  # small; read three times below
+    profiles = profiles.checkpoint(eager=True)  # small; read several times below
     langs = _languages(profiles, max_languages)
+    k = len(langs)
+    per_gram_table = per_gram_counts(profiles, [l for l, _ in langs])
     post_words = texts.select(F.col(id_col).alias("id"), F.explode(words(text_col)).alias("word"))
-    vocabulary = post_words.select("word").distinct()
-    scores = _checked_broadcast(word_scores(vocabulary, profiles, [l for l, _ in langs]), max_broadcast_rows)
-    dots = post_words.join(scores, "word").groupBy("id").agg(
-        *[F.sum(f"d{i}").alias(f"d{i}") for i in range(len(langs))])
-    candidates = [F.struct((F.col(f"d{i}").cast("double") / F.sqrt(F.lit(norm2))).alias("score"),
+    if vocabulary is None:
+        # Complete table for the texts' own words: a plain inner join.
+        table = _checked_broadcast(word_scores(post_words.select("word").distinct(), per_gram_table, k),
+                                   max_broadcast_rows)
+        dots = post_words.join(table, "word").groupBy("id").agg(
+            *[F.sum(f"d{i}").alias(f"d{i}") for i in range(k)])
+    else:
+        per_gram = _checked_broadcast(per_gram_table, max_broadcast_rows)
+        table = _checked_broadcast(word_scores(vocabulary, per_gram_table, k), max_broadcast_rows)
+        known = post_words.join(table, "word", "left")
+        # Words missing from the table: their trigrams, scored against the profile.
+        unknown_grams = F.when(F.col("d0").isNull(), trigrams("word"))
+        rows = known.select("id", *[f"d{i}" for i in range(k)], F.explode_outer(unknown_grams).alias("gram"))
+        rows = rows.join(per_gram, "gram", "left")
+        dots = rows.groupBy("id").agg(*[
+            F.sum(F.coalesce(F.col(f"d{i}"), F.col(f"n{i}"))).alias(f"d{i}") for i in range(k)]) \
+            .where(F.coalesce(*[F.col(f"d{i}") for i in range(k)]).isNotNull())
+    candidates = [F.struct((F.coalesce(F.col(f"d{i}"), F.lit(0)).cast("double")
+                            / F.sqrt(F.lit(norm2))).alias("score"),
                            F.lit(lang).alias("lang"))
                   for i, (lang, norm2) in enumerate(langs)]
-    best = candidates[0] if len(candidates) == 1 else F.greatest(*candidates)
+    best = candidates[0] if k == 1 else F.greatest(*candidates)
     return dots.select("id", best.getField("lang").alias("lang"))
 
 

@@ -187,9 +187,16 @@ def q_interval_report(spark, sf_dir):
 
 # ---- language identification ---------------------------------------------------------
 
+def _documents(spark, sf_dir):
+    return spread(read_table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+
+
 def _profiles(spark, sf_dir):
-    documents = spread(read_table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
-    return L.train_profiles(documents)
+    return L.train_profiles(_documents(spark, sf_dir))
+
+
+def _detected(spark, sf_dir, archive):
+    return L.detect(archive, _profiles(spark, sf_dir))
 
 
 def q_language_profiles(spark, sf_dir):
@@ -198,12 +205,12 @@ def q_language_profiles(spark, sf_dir):
 
 def q_detect_language(spark, sf_dir):
     archive = _archive_posts(spark, sf_dir).select("id", "text")
-    return L.detect(archive, _profiles(spark, sf_dir))
+    return _detected(spark, sf_dir, archive)
 
 
 def q_sentiment_label_detected(spark, sf_dir):
     archive = _archive_posts(spark, sf_dir).select("id", "text")
-    english = L.english_ids(L.detect(archive, _profiles(spark, sf_dir)))
+    english = L.english_ids(_detected(spark, sf_dir, archive))
     return S.sentiment_view(archive, default_lexicon(), english=english)
 
 

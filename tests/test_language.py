@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from tagpulse.operators import language as L
 from tagpulse.plans.catalog import _archive_posts, _profiles
+from tagpulse.sources.tables import read_table
 
 
 def test_trigrams(spark):
@@ -20,3 +21,15 @@ def test_detection_accuracy_on_posts(spark, sf_small):
     accuracy = row["hit"] / row["n"]
     print(f"language accuracy on {row['n']} archived posts: {accuracy:.4f}")
     assert accuracy > 0.95
+
+
+def test_one_pass_and_two_pass_detection_agree(spark, sf_small):
+    documents = read_table(spark, sf_small, "documents").select("text", "lang")
+    posts = _archive_posts(spark, sf_small).select("id", "text")
+    profiles = L.train_profiles(documents)
+    two_pass = sorted(map(tuple, L.detect(posts, profiles).collect()))
+    one_pass = sorted(map(tuple, L.detect(posts, profiles, L.training_vocabulary(documents)).collect()))
+    # a vocabulary that misses most words forces the trigram fallback
+    tiny = L.training_vocabulary(documents.limit(3))
+    fallback = sorted(map(tuple, L.detect(posts, profiles, tiny).collect()))
+    assert two_pass == one_pass == fallback
