@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tagpulse.operators.speed import parse_records
 from tagpulse.schemas import SENTIMENT, SUMMARY
 
 
-def _batched(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema.add("batch_id", "long")).option("basePath", path)
-    return reader.format(fmt).load(path)
+def _batched(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame:
+    """Rows of all ``batch_id=N`` folders, with ``batch_id`` as a column."""
+    with_batch = StructType(list(schema.fields) + [StructField("batch_id", LongType())])
+    return spark.read.schema(with_batch).option("basePath", path).format(fmt).load(path)
 
 
 def read_summary_view(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -25,8 +27,7 @@ def read_summary_view(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     The ``min(struct(batch_id, ...))`` aggregate keeps the earliest batch's
     row; partial aggregation collapses copies before the shuffle on ``_id``.
     """
-    from copy import deepcopy
-    rows = _batched(spark, path, deepcopy(SUMMARY), fmt)
+    rows = _batched(spark, path, SUMMARY, fmt)
     first = rows.groupBy("_id").agg(F.min(F.struct("batch_id", "hashtag", "time")).alias("r"))
     return first.select("_id", "r.hashtag", "r.time")
 
