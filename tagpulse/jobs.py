@@ -53,8 +53,11 @@ def speed(spark: SparkSession, records: str, views: str, fmt: str = "parquet",
 
 def batch(spark: SparkSession, views: str, labelled: DataFrame | None = None,
           lexicon: Lexicon | None = None) -> DataFrame:
-    """Archive -> English (detected from ``labelled`` profiles, or the
-    ``lang`` field when the archive carries one) -> sentiment view."""
+    """Archive -> English posts -> sentiment view.
+
+    English is detected with trigram profiles trained on ``labelled``
+    (``text, lang``); without a labelled corpus every archived post is
+    treated as English."""
     paths = layout(views)
     archive = read_archive(spark, paths["archive"])
     lexicon = lexicon or default_lexicon()
