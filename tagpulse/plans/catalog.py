@@ -17,7 +17,7 @@ from tagpulse.operators import intervals as I
 from tagpulse.operators import language as L
 from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
-from tagpulse.session import prepare
+from tagpulse.session import prepare, shared_dir
 from tagpulse.sources import posts as P
 from tagpulse.sources.tables import read_table, spread
 
@@ -181,7 +181,10 @@ def q_positive_intervals_all(spark, sf_dir):
 
 
 def q_interval_report(spark, sf_dir):
-    summary = _summary(spark, sf_dir)
+    # The summary feeds both the hashtag list and the intervals: its narrow
+    # rows are written once to the shared folder instead of re-deriving them.
+    shared_dir(spark)
+    summary = _summary(spark, sf_dir).checkpoint(eager=True)
     return I.interval_report(summary, I.positive_intervals(summary, _sentiment(spark, sf_dir)))
 
 
