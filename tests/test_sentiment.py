@@ -59,3 +59,12 @@ def test_bad_json_dropped(spark):
                                    ('{"id": 6, "created": "x"}',)], "value string")
     got = parse_records(lines).collect()
     assert [(r["id"], r["text"]) for r in got] == [("5", "hi #a")]
+
+
+def test_lexicon_join_keeps_copies(spark):
+    rows = [("1", "en", "good bad good"), ("1", "en", "good bad good"), ("2", "en", "trash")]
+    stemmed = S.stemmed_english(_posts(spark, rows), LEX)
+    cols = ["id", "text", "n_tokens", "pos_hits", "neg_hits", "pos_score", "neg_score"]
+    a = sorted(map(tuple, S.score(stemmed, LEX).select(cols).collect()))
+    b = sorted(map(tuple, S.score_with_lexicon_frame(stemmed, LEX.to_frame(spark)).select(cols).collect()))
+    assert a == b and len(a) == 3
