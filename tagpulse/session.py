@@ -64,3 +64,24 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/tagpulse/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python tasks this package, wherever the driver was started (once a session).
+
+    The archive is served by the driver like any ``--py-files`` argument."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_tagpulse_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp()) / "tagpulse.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*")):
+            if path.suffix in (".py", ".txt"):
+                out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._tagpulse_shipped = True
