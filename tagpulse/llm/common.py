@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.session import prepare, scratch_path
+from tagpulse.session import prepare, scratch_path, ship_package
 
 #: Rows in an Arrow batch handed to Python; texts are long, so batches stay small.
 BATCH_ROWS = 512
@@ -23,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Bound the memory of Python tasks: few rows in each Arrow batch."""
+    """Ready Python tasks: the package at hand, and few rows in each Arrow batch to bound memory."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

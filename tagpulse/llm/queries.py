@@ -5,11 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagpulse.llm import bestfit, hash_ring, mixing
+from tagpulse.llm import bestfit, hash_ring, mixing, pfor, toxicity, url_filter
 from tagpulse.llm.common import table
+from tagpulse.session import scratch_path
 
 SHARDS = 16
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url against the rules, and else against its host's tree of path templates.
+
+    A page is a labelled example when the document that its path names is labelled; low quality or toxic is bad."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    marked = table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    _, path = url_filter.host_and_path(F.col("url"))
+    number = F.expr("try_cast(doc AS bigint)")
+    named = pages.withColumn("doc", F.regexp_extract(path, r"(\d+)(?:\.\w+)?/?$", 1)).select("page_id", number.alias("doc_id"))
+    return url_filter.judge(pages, named.join(marked, "doc_id").select("page_id", "bad"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for toxicity; rows whose checksum is a multiple of five are held out of learning."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.fold(F.col("doc_id")) == 0
+    model = toxicity.learn(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_passages", "best_passage", "evidence")
+
+
+def op6_pfor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, written in blocks and read back."""
+    import public_tokenizers
+    path = scratch_path(spark, "token-ids")
+    pfor.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return pfor.read_checksums(spark, path)
 
 
 def op7_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +63,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_hash_ring, op8_best_fit, op10_mixing)}
+    f.__name__: f for f in (op2_url_filter, op3_toxicity, op6_pfor, op7_hash_ring, op8_best_fit, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.SHARES_SQL}

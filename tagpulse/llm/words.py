@@ -23,6 +23,7 @@ _WORD_BASE = _U(0xD1342543DE82EF95)
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -115,10 +116,10 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[Chunk]:
         lo = hi
 
 
-def split_words(chunk: Chunk, lower: bool = False) -> Words:
+def split_words(chunk: Chunk, lower: bool = False, separators: np.ndarray = IS_SPACE) -> Words:
     """The words of every row of a chunk, with their hashes."""
     data, rows = chunk.data, chunk.offsets
-    inside = ~IS_SPACE[data]
+    inside = ~separators[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = inside
     before[rows] = False
@@ -131,6 +132,16 @@ def split_words(chunk: Chunk, lower: bool = False) -> Words:
     return Words(starts, ends, np.searchsorted(starts, rows), mix(_ranges(values, starts, ends, _BYTES)))
 
 
+def prefix_hashes(chunk: Chunk, words: Words, length: int, lower: bool = False) -> np.ndarray:
+    """Hash of the first ``length`` bytes of each word; a word that is no longer keeps its own."""
+    values = _BYTE_VALUE[_LOWER[chunk.data] if lower else chunk.data]
+    cut = words.starts + length
+    longer = cut < words.ends
+    out = words.hashes.copy()
+    out[longer] = mix(_ranges(values, words.starts[longer], cut[longer], _BYTES) + _U(length * int(_WORD_BASE) % (1 << 64)))
+    return out
+
+
 def split_pieces(chunk: Chunk) -> Words:
     """Each row cut before every run of white space: pieces ``white space + word``."""
     data, rows = chunk.data, chunk.offsets
