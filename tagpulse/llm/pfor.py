@@ -7,14 +7,15 @@ unpacked values.  An index holds where each block and each list starts, so
 ``decode_block`` reads one block alone.
 
 A written table is a folder of segments in ascending document order: rows
-``(bucket, segment, doc_ids, lengths, payload)`` in Parquet, where ``payload`` is one
+``(bucket, segment, start, doc_ids, lengths, payload)`` in Parquet, where ``payload`` is one
 encoded run of about ``SEGMENT_IDS`` ids and never cuts a document.  Spark reads and
 writes it, so any store will do.  Documents are dealt to ordered buckets by quantiles of
 their ids and sorted there; the starts need only the sums of the buckets.
 
 ``PieceEncoder`` gives a text's ids as the tokenizers library does: a byte-level
-pre-tokenizer always cuts before a run of white space, so the library encodes each distinct
-piece ``white space + word`` once and the pieces' ids are put together.  Texts with
+pre-tokenizer always cuts before a run of white space, and between a letter or digit and
+punctuation, so the library encodes each distinct piece between such cuts once and the
+pieces' ids are put together.  Texts with
 white space beyond ASCII, control separators or a special token's string are
 encoded whole.
 
@@ -25,6 +26,7 @@ empty file and result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,12 +41,12 @@ from tagpulse.llm.common import arrow_batches, bucket_of, cores, order_bounds
 from tagpulse.llm.words import Chunk, chunks, split_pieces
 
 BLOCK = 256
-PERCENTILE = 0.9
+PERCENTILE = 0.98
 SEGMENT_IDS = 1 << 20
 END_ID = 2
 MAGIC = b"PFB1"
 _HEAD = struct.Struct("<4sIQII")
-SEGMENT_SCHEMA = "bucket int, segment int, doc_ids array<bigint>, lengths array<bigint>, payload binary"
+SEGMENT_SCHEMA = "bucket int, segment int, start bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
 
 # --- the block format --------------------------------------------------------
@@ -132,16 +134,19 @@ class Reader:
 _ODD_SPACE = [b"\x1c", b"\x1d", b"\x1e", b"\x1f", "\x85".encode(), "\xa0".encode(), " ".encode(),
               *[chr(c).encode() for c in range(0x2000, 0x200B)],
               " ".encode(), " ".encode(), " ".encode(), " ".encode(), "　".encode()]
+_LONE_WORD = re.compile(r" ?[A-Za-z]+").fullmatch
 
 
 class PieceEncoder:
-    """A tokenizer with a memory of pieces, at most ``limit`` of them."""
+    """A byte-level BPE tokenizer with a memory of pieces, at most ``limit`` of them."""
 
     def __init__(self, path: str, limit: int = 1 << 21) -> None:
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # each piece is asked for once
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = np.zeros(256, bool)
         self.first[[s[0] for s in (*_ODD_SPACE, *self.special) if s]] = True
@@ -154,7 +159,13 @@ class PieceEncoder:
         self.ids = np.empty(0, np.uint32)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """The library's ids; a lone word is a single pre-token, for which its model is asked directly."""
+        out: list[list[int] | None] = [
+            [t.id for t in self.model.tokenize("\u0120" + x[1:] if x[0] == " " else x)] if _LONE_WORD(x) else None for x in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         ids = self._ids(texts)
@@ -229,7 +240,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, key
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
-        state = {"bucket": None, "segment": 0}
+        state = {"bucket": None, "segment": 0, "start": 0}
         docs_, lengths, ids, held = [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -237,10 +248,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, key
             if docs_:
                 payload = encode(np.concatenate(ids))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([state["bucket"]], pa.int32()), pa.array([state["segment"]], pa.int32()),
+                    pa.array([state["bucket"]], pa.int32()), pa.array([state["segment"]], pa.int32()), pa.array([state["start"]], pa.int64()),
                     pa.array([docs_], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
-                    pa.array([payload], pa.binary())], ["bucket", "segment", "doc_ids", "lengths", "payload"])
+                    pa.array([payload], pa.binary())], ["bucket", "segment", "start", "doc_ids", "lengths", "payload"])
                 state["segment"] += 1
+                state["start"] += held
                 for x in (docs_, lengths, ids):
                     x.clear()
                 held = 0
@@ -254,7 +266,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, key
                     continue
                 if buckets[a] != state["bucket"]:
                     yield from flush()
-                    state.update(bucket=int(buckets[a]), segment=0)
+                    state.update(bucket=int(buckets[a]), segment=0, start=0)
                 for chunk in chunks(batch.column(2).slice(a, b - a)):
                     flat, sizes = code.encode(chunk, end)
                     docs_.extend(keys[a + chunk.lo:a + chunk.hi])
@@ -280,16 +292,13 @@ def read_checksums(spark: SparkSession, path: str) -> DataFrame:
 
 def _read(spark: SparkSession, path: str, column: str, made, kind: pa.DataType) -> DataFrame:  # noqa: ANN001
     segments = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
+    # One row for each bucket, a fixed number at most, is summed over all; a segment knows its start in its bucket.
     n_ids = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    sizes = segments.select("bucket", "segment", n_ids.alias("n"))
-    # One row for each bucket (a fixed number at most) is summed over all; segments only within their bucket.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = sizes.groupBy("bucket").agg(F.sum("n").alias("n")).select(
+    buckets = segments.groupBy("bucket").agg(F.sum(n_ids).alias("n")).select(
         "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bucket_start"))
-    within = Window.partitionBy("bucket").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("bucket", "segment", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("offset"))
-    placed = segments.join(starts, ["bucket", "segment"]).join(F.broadcast(buckets), "bucket").select(
-        (F.col("bucket_start") + F.col("offset")).alias("start"), "doc_ids", "lengths", "payload")
+    placed = segments.join(F.broadcast(buckets), "bucket").select(
+        (F.col("bucket_start") + F.col("start")).alias("start"), "doc_ids", "lengths", "payload")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

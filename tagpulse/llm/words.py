@@ -24,6 +24,8 @@ _WORD_BASE = _U(0xD1342543DE82EF95)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+_ALNUM = ~NOT_ALNUM & (np.arange(256) < 128)
+_PUNCTUATION = NOT_ALNUM & ~IS_SPACE & (np.arange(256) > 0x20) & (np.arange(256) < 0x7F) & (np.arange(256) != ord("'"))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -143,12 +145,13 @@ def prefix_hashes(chunk: Chunk, words: Words, length: int, lower: bool = False)
 
 
 def split_pieces(chunk: Chunk) -> Words:
-    """Each row cut before every run of white space: pieces ``white space + word``."""
+    """Each row cut before every run of white space, and before ASCII punctuation (but ``'``) after an ASCII letter or digit."""
     data, rows = chunk.data, chunk.offsets
     space = IS_SPACE[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = space
     head = space & ~before[:-1]
+    head[1:] |= _ALNUM[data[:-1]] & _PUNCTUATION[data[1:]]
     head[rows[:-1][np.diff(rows) > 0]] = True
     starts = np.flatnonzero(head)
     ends = np.append(starts[1:], len(data)) if len(starts) else starts
