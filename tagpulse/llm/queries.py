@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, pfor, toxicity, url_filter
+from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, pfor, spotsigs, toxicity, url_filter
 from tagpulse.llm.common import table
 from tagpulse.session import scratch_path
 
@@ -39,6 +39,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_passages", "best_passage", "evidence")
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest found of every fiftieth vector."""
     return cross_polytope.search(table(spark, sf_dir, "embeddings"), lambda key: key % 50 == 0)
@@ -68,6 +73,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op3_toxicity, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op10_mixing)}
+    f.__name__: f for f in (op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.SHARES_SQL}
