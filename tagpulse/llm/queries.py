@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, pfor, spotsigs, toxicity, url_filter
+from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, ngram_join, pfor, spotsigs, toxicity, url_filter
 from tagpulse.llm.common import table
 from tagpulse.session import scratch_path
 
@@ -15,6 +15,11 @@ SHARDS = 16
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents linked at a Jaccard likeness of 0.9 on three-word shingles."""
+    return ngram_join.linked(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url against the rules, and else against its host's tree of path templates.
 
@@ -73,6 +78,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op10_mixing)}
+    f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op10_mixing)}
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.SHARES_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_ngram_join": ngram_join.linked_sql(3, 90), "op10_mixing": mixing.SHARES_SQL}
