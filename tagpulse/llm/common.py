@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagpulse.llm.words import mix
 from tagpulse.session import prepare, scratch_path, ship_package
 
 #: Rows in an Arrow batch handed to Python; texts are long, so batches stay small.
@@ -118,6 +119,29 @@ def sum_counters(blocks: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
                            for i, s in enumerate(parts)], axis=-1)
 
 
+#: Slots of a bitmap of ids.
+ID_BITS = 20
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A fixed-size bitmap of ids: which documents a later scan may skip for certain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << ID_BITS, np.int64)
+        for batch in batches:
+            counts[id_slot(batch.column(0).to_numpy())] = 1
+        blocks = list(counter_rows(counts))
+        if blocks:
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())],
+                                             ["block", "counts"])
+
+    return sum_counters(ids.mapInArrow(run, "block int, counts binary"), (1 << ID_BITS,)) > 0
+
+
+def id_slot(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - ID_BITS)).astype(np.int64)
+
+
 # --- look-ups ----------------------------------------------------------------
 
 #: Keys that make up more than this share of the rows are looked up by broadcast; there are at most HEAVY of them.

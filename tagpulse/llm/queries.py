@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, ngram_join, pfor, spotsigs, toxicity, url_filter
+from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, ngram_join, pfor, spotsigs, substring, toxicity, url_filter
 from tagpulse.llm.common import table
 from tagpulse.session import scratch_path
 
@@ -72,12 +72,19 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.best_fit(table(spark, sf_dir, "documents"))
 
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows of 35 words that occur more than once."""
+    docs = table(spark, sf_dir, "documents")
+    return substring.cut(docs, substring.kept_digest, "kept_sha256")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by the weights 5, 2, 1, at most three epochs of a source."""
     return mixing.shares(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op10_mixing)}
+    f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op9_substring, op10_mixing)}
 
-ORACLE_SQL: dict[str, str] = {"op1_ngram_join": ngram_join.linked_sql(3, 90), "op10_mixing": mixing.SHARES_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_ngram_join": ngram_join.linked_sql(3, 90), "op9_substring": substring.cut_sql(substring.WINDOW),
+                              "op10_mixing": mixing.SHARES_SQL}
