@@ -219,28 +219,39 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return Model(weights, rate, intercept, slope)
 
 
+def _judged(token: np.ndarray, first: np.ndarray, m: Model) -> tuple[np.ndarray, list[tuple[float, int, float]]]:
+    scores = token_scores(m.weights, token)
+    found = [_evidence(scores[a:b], m.rate) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    evidence = np.array([f[0] for f in found])
+    return 1 / (1 + np.exp(-np.clip(m.intercept + m.slope * evidence, -700, 700))), found
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, score, n_passages, best_passage, evidence`` of every row."""
     arrow_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, token, first in _tokens(batch.column(1)):
+                chance, found = _judged(token, first, shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(chance), pa.array([f[1] for f in found], pa.int32()),
+                     pa.array([f[2] for f in found], pa.float64()), pa.array([f[0] for f in found], pa.float64())],
+                    ["doc_id", "score", "n_passages", "best_passage", "evidence"])
+
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    return _scored(rows, model, [], "doc_id long, score double, n_passages int, best_passage double, evidence double")
+    return rows.mapInArrow(run, "doc_id long, score double, n_passages int, best_passage double, evidence double")
 
 
-def _scored(rows: DataFrame, model: Model, keep: list[str], schema: str) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def reject(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows whose score is below ``limit``, with the columns they had."""
+    arrow_batches(docs.sparkSession)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            found = []
-            for _, _, token, first in _tokens(batch.column("text")):
-                scores = token_scores(m.weights, token)
-                found += [_evidence(scores[a:b], m.rate) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            evidence = np.array([f[0] for f in found])
-            chance = 1 / (1 + np.exp(-np.clip(m.intercept + m.slope * evidence, -700, 700)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[batch.column(k) for k in keep], pa.array(chance), pa.array([f[1] for f in found], pa.int32()),
-                 pa.array([f[2] for f in found], pa.float64()), pa.array(evidence)],
-                ["doc_id", *keep, "score", "n_passages", "best_passage", "evidence"])
-
-    return rows.mapInArrow(run, schema)
+            for lo, hi, token, first in _tokens(batch.column(at)):
+                yield batch.slice(lo, hi - lo).filter(pa.array(_judged(token, first, shared.value)[0] < limit))
+
+    return docs.mapInArrow(run, docs.schema)
