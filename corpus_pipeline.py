@@ -35,10 +35,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 35 words or more that occur more than once, with their new length."""
-    done = substring.cut(docs, substring.kept_text, "_kept", keep=docs.columns)
-    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return done.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    done = substring.cut(docs, substring.kept_text, "kept", keep=docs.columns)
+    own = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    text = F.when(own["text"].isNotNull(), F.col("kept"))
+    n_chars = F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(own["n_chars"])
+    return done.select(*[c.alias(name) for name, c in (own | {"text": text, "n_chars": n_chars}).items()])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,7 +106,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, with the columns it had."""
     plan = plan_mix(materialize(measure(docs, key, text, source, seed), "mix-rows"), weights, epochs).select("source_key", "whole", "threshold")
-    columns = [F.col(f"doc.{c}") for c in docs.columns]
+    columns = [F.col(f"doc.`{c}`") for c in docs.columns]
     rows = docs.select(F.struct("*").alias("doc"), source_key(F.col(source)).alias("source_key"), ticket(F.col(key), seed).alias("ticket"))
     taken = epochs_of(rows, plan).where("times > 0")
     return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")).select(*columns)

@@ -75,7 +75,7 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of windows of 35 words that occur more than once."""
     docs = table(spark, sf_dir, "documents")
-    return substring.cut(docs, substring.kept_digest, "kept_sha256")
+    return substring.cut(docs, substring.kept_digest, "kept_sha256").select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagpulse.llm.common import arrow_batches, discard, id_filter, id_slot, look_up, materialize
 from tagpulse.llm.words import Chunk, Words, chunks, mix, signed, span_hashes, split_words, window_hashes
@@ -122,8 +123,8 @@ def _picked(texts: DataFrame, keys: DataFrame, columns: list[str], others: bool
             d1 = [signed(span_hashes((w := split_words(c)).hashes, w.first[:-1], w.first[1:])) for c in chunks(batch.column(1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(d1) if d1 else np.empty(0, np.int64))], [*batch.schema.names, "d1"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*columns).schema)
-    return texts.select(*columns).mapInArrow(run, f"{schema}, d1 bigint")
+    rows = texts.select(*columns)
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("d1", T.LongType())]))
 
 
 def _windows(texts: DataFrame, asked: DataFrame, window: int) -> DataFrame:
@@ -203,11 +204,11 @@ def kept_text(chunk: Chunk, words: Words, row: int, at: np.ndarray, whole: bool)
 
 def cut(docs: DataFrame, kept: Callable, name: str, window: int = WINDOW, key: str = "doc_id", text: str = "text",
         keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` of every row, with ``n_words``, ``n_removed`` and ``name``, which is what ``kept`` makes of the kept words."""
+    """``row`` (a struct of the columns ``keep``), ``n_words``, ``n_removed`` and ``name``, which is what ``kept`` makes of the kept words."""
     arrow_batches(docs.sparkSession)
     keep = [key] if keep is None else keep
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                        F.struct(*keep).alias("row"))
+                        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
     found = repeats(texts, window)
     columns = ["doc", "text", "row"]
     maybe = _picked(texts, found, columns).join(found, _TEXT, "left").select("row", "text", "spans")
@@ -230,9 +231,8 @@ def cut(docs: DataFrame, kept: Callable, name: str, window: int = WINDOW, key: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(made, pa.string())],
                                              ["row", "n_words", "n_removed", name])
 
-    schema = f"row {texts.schema['row'].dataType.simpleString()}, n_words bigint, n_removed bigint, {name} string"
-    done = maybe.mapInArrow(run, schema).unionByName(other.mapInArrow(run, schema))
-    return done.select("row.*", "n_words", "n_removed", name)
+    schema = T.StructType([texts.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(name, T.StringType())])
+    return maybe.mapInArrow(run, schema).unionByName(other.mapInArrow(run, schema))
 
 
 def cut_sql(window: int) -> str:
