@@ -109,7 +109,7 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", tex
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "s"))
     prefix = materialize(each.join(rarity, "s").withColumn("rank", rank)
                          .where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-                         .select("id", "n", "s", F.floor(F.log("n") / F.lit(-math.log(threshold)) + 1e-9).alias("part")), "spot-prefixes")
+                         .select("id", "n", "s", (F.floor(F.log("n") / F.lit(-math.log(threshold)) + 1e-9) if threshold < 1 else F.col("n").cast("long")).alias("part")), "spot-prefixes")
     left = prefix.select(F.col("id").alias("a"), F.col("n").alias("n_a"), "s", "part")
     right = prefix.select(F.col("id").alias("b"), F.col("n").alias("n_b"), "s", F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("part"))
     fits = (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * threshold - 1e-9) & (F.col("a") != F.col("b"))
