@@ -2,9 +2,8 @@
 
 A lexicon is an input with a path, one word per line, taken verbatim.  Small
 lexicons are folded into the plan as ``isin`` literals (hash INSET, no
-shuffle); the size is counted before anything is collected, and lexicons above
-``MAX_INLINE_WORDS`` are used through a join instead (see
-``operators.sentiment.score_with_lexicon_frame``).
+shuffle); the size is counted before anything is collected.  Larger ones stay
+tables (``LexiconTable``), which the operators join by word.
 """
 
 from __future__ import annotations
@@ -20,9 +19,8 @@ from tagpulse.schemas import LEXICON
 STOP, POSITIVE, NEGATIVE = "stop", "positive", "negative"
 CATEGORIES = (STOP, POSITIVE, NEGATIVE)
 
-# Above this many distinct words per category the words are not inlined into
-# the plan; the join-based scorer is used instead.
-MAX_INLINE_WORDS = 50_000
+# Up to this many distinct words per category are folded into the plan.
+INLINE_WORDS = 50_000
 
 
 @dataclass(frozen=True)
@@ -39,6 +37,16 @@ class Lexicon:
         return spark.createDataFrame(rows, LEXICON)
 
 
+@dataclass(frozen=True)
+class LexiconTable:
+    """A lexicon of any size as ``(word, category)`` rows."""
+
+    frame: DataFrame
+
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        return self.frame
+
+
 def _packaged(name: str) -> list[str]:
     text = resources.files("tagpulse.resources.lexicon").joinpath(f"{name}.txt").read_text("utf-8")
     return text.splitlines()
@@ -67,14 +75,13 @@ def lexicon_frame(spark: SparkSession, stop_path: str, positive_path: str,
     return frame.where(F.col("word") != "").distinct()
 
 
-def load_lexicon(spark: SparkSession, stop_path: str, positive_path: str,
-                 negative_path: str, max_words: int = MAX_INLINE_WORDS) -> Lexicon:
-    """Collect a lexicon for inlining, after checking that it is small."""
+def load_lexicon(spark: SparkSession, stop_path: str, positive_path: str, negative_path: str,
+                 inline_words: int = INLINE_WORDS) -> Lexicon | LexiconTable:
+    """A lexicon to fold into the plan when it is counted to be small, else the table."""
     frame = lexicon_frame(spark, stop_path, positive_path, negative_path)
-    sizes = {r["category"]: r["n"] for r in frame.groupBy("category").agg(F.count("*").alias("n")).collect()}
-    too_big = {c: n for c, n in sizes.items() if n > max_words}
-    if too_big:
-        raise ValueError(f"lexicon too large to inline ({too_big}); use the join-based scorer")
+    sizes = frame.groupBy("category").agg(F.count("*").alias("n")).collect()
+    if any(r["n"] > inline_words for r in sizes):
+        return LexiconTable(frame)
     words = {c: [] for c in CATEGORIES}
     for row in frame.collect():
         words[row["category"]].append(row["word"])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 DATE_TOSTRING_UTC = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
 # Spark 4 rejects the weekday and the long zone name when parsing, so the
 # weekday is dropped and the short zone pattern is used.
-WEEKDAY_PREFIX = r"^\w+ "
+WEEKDAY_PREFIX = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun) "
 CREATED_PARSE = "MMM dd HHmmss z yyyy"
 PARSE_FAILURE = 0
 SQL_FUNCTION_NAME = "toTimestamp"
@@ -29,8 +29,9 @@ def parse_event_time(time: Column | str) -> Column:
     """Epoch seconds of a normalised ``created`` string; 0 when it
     cannot be parsed (NULL included).  Built-in expression, no UDF."""
     c = F.col(time) if isinstance(time, str) else time
-    parsed = F.try_to_timestamp(F.regexp_replace(c, WEEKDAY_PREFIX, ""), F.lit(CREATED_PARSE))
-    return F.coalesce(F.unix_timestamp(parsed), F.lit(PARSE_FAILURE).cast("long"))
+    return F.when(c.rlike(WEEKDAY_PREFIX), F.coalesce(F.unix_timestamp(F.try_to_timestamp(
+        F.regexp_replace(c, WEEKDAY_PREFIX, ""), F.lit(CREATED_PARSE))), F.lit(PARSE_FAILURE).cast("long"))) \
+        .otherwise(F.lit(PARSE_FAILURE).cast("long"))
 
 
 def register_sql_function(spark: SparkSession, name: str = SQL_FUNCTION_NAME) -> None:
@@ -41,6 +42,6 @@ def register_sql_function(spark: SparkSession, name: str = SQL_FUNCTION_NAME) ->
     """
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS BIGINT RETURN "
-        f"coalesce(unix_timestamp(try_to_timestamp(regexp_replace(t, '^\\\\w+ ', ''), "
-        f"'{CREATED_PARSE}')), {PARSE_FAILURE})"
+        f"CASE WHEN t RLIKE '{WEEKDAY_PREFIX}' THEN coalesce(unix_timestamp(try_to_timestamp("
+        f"regexp_replace(t, '{WEEKDAY_PREFIX}', ''), '{CREATED_PARSE}')), {PARSE_FAILURE}) ELSE {PARSE_FAILURE} END"
     )

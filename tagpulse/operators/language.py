@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagpulse.session import shared_dir
+from tagpulse.session import stored
 
 # --- fixed values of the trigram definition (shared with the SQL twin) ---------
 NON_LETTER_RUN = r"[^\p{L}]+"
@@ -32,12 +32,6 @@ GRAM = 3
 TRIGRAM_WINDOW = r"(?=(.[^ ].))"
 # --------------------------------------------------------------------------------
 
-# Word-score tables with at most this many rows are broadcast to the scoring
-# join; larger ones are shuffled on ``word`` (AQE splits hot words).
-MAX_BROADCAST_WORD_ROWS = 2_000_000
-# Scores are one column per language; the language list is collected.
-MAX_LANGUAGES = 1000
-
 
 def trigrams(text: Column | str) -> Column:
     """Array of the letter trigrams of a text (words padded with spaces).
@@ -74,20 +68,10 @@ def train_profiles(documents: DataFrame, text_col: str = "text", lang_col: str =
     return grams.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
 
 
-def _languages(profiles: DataFrame, max_languages: int) -> list[tuple[str, float]]:
-    """``(lang, norm2)`` per language, collected: one row per language."""
+def _languages(profiles: DataFrame) -> list[tuple[str, float]]:
+    """``(lang, norm2)`` per language, collected: one row per label of the training corpus."""
     norms = profiles.groupBy("lang").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("norm2"))
-    rows = norms.limit(max_languages + 1).collect()
-    if len(rows) > max_languages:
-        raise ValueError(f"more than {max_languages} languages in the profiles")
-    return sorted((r["lang"], r["norm2"]) for r in rows)
-
-
-def _checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Checkpoint to the shared folder, count, and broadcast only when small."""
-    shared_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return sorted((r["lang"], r["norm2"]) for r in norms.collect())
 
 
 def training_vocabulary(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -113,46 +97,34 @@ def word_scores(vocabulary: DataFrame, per_gram: DataFrame, k: int) -> DataFrame
         *[F.sum(f"n{i}").alias(f"d{i}") for i in range(k)])
 
 
-def detect(texts: DataFrame, profiles: DataFrame, vocabulary: DataFrame | None = None,
-           id_col: str = "id", text_col: str = "text",
-           max_broadcast_rows: int = MAX_BROADCAST_WORD_ROWS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+def detect(texts: DataFrame, profiles: DataFrame, vocabulary: DataFrame,
+           id_col: str = "id", text_col: str = "text") -> DataFrame:
     """``id, lang``: the nearest language of every text that shares at least
     one trigram with some profile.
 
-    Without ``vocabulary``, the word table is built from the distinct words
-    of the texts (a first pass) and joined to every word occurrence (a second
-    pass): the cheaper plan while the texts are of the order of the labelled
-    corpus.  With ``vocabulary`` (normally the training words) the texts are
-    read once: a word takes its scores from that table, and a word outside it
-    is cut into trigrams on the spot and scored against the per-gram profile;
-    preferable when the texts are far larger than the labelled corpus.
-    Tables are checkpointed, counted and broadcast only under the bound
-    (otherwise shuffle joins with AQE skew splitting).  Either way the
-    per-post sums equal the sums over the post's trigram occurrences.
+    The texts are read once.  A word takes its scores from the table of the
+    training words (``vocabulary``), and a word outside it is cut into trigrams
+    on the spot and scored against the per-gram profile, so the per-post sums
+    equal the sums over the post's trigram occurrences and no table grows with
+    the posts.  Both tables are stored first: Spark knows their bytes and
+    broadcasts them under its threshold, else joins by shuffle.
     """
-    shared_dir(profiles.sparkSession)
-    profiles = profiles.checkpoint(eager=True)  # small; read several times below
-    langs = _languages(profiles, max_languages)
+    profiles = stored(profiles, "profiles")
+    langs = _languages(profiles)
     k = len(langs)
-    per_gram_table = per_gram_counts(profiles, [l for l, _ in langs])
+    if not k:
+        return texts.select(F.col(id_col).alias("id"), F.lit(None).cast("string").alias("lang")).where(F.lit(False))
+    per_gram = stored(per_gram_counts(profiles, [l for l, _ in langs]), "profile-grams")
+    table = stored(word_scores(vocabulary, per_gram, k), "profile-words")
     post_words = texts.select(F.col(id_col).alias("id"), F.explode(words(text_col)).alias("word"))
-    if vocabulary is None:
-        # Complete table for the texts' own words: a plain inner join.
-        table = _checked_broadcast(word_scores(post_words.select("word").distinct(), per_gram_table, k),
-                                   max_broadcast_rows)
-        dots = post_words.join(table, "word").groupBy("id").agg(
-            *[F.sum(f"d{i}").alias(f"d{i}") for i in range(k)])
-    else:
-        per_gram = _checked_broadcast(per_gram_table, max_broadcast_rows)
-        table = _checked_broadcast(word_scores(vocabulary, per_gram_table, k), max_broadcast_rows)
-        known = post_words.join(table, "word", "left")
-        # Words missing from the table: their trigrams, scored against the profile.
-        unknown_grams = F.when(F.col("d0").isNull(), trigrams("word"))
-        rows = known.select("id", *[f"d{i}" for i in range(k)], F.explode_outer(unknown_grams).alias("gram"))
-        rows = rows.join(per_gram, "gram", "left")
-        dots = rows.groupBy("id").agg(*[
-            F.sum(F.coalesce(F.col(f"d{i}"), F.col(f"n{i}"))).alias(f"d{i}") for i in range(k)]) \
-            .where(F.coalesce(*[F.col(f"d{i}") for i in range(k)]).isNotNull())
+    known = post_words.join(table, "word", "left")
+    # Words missing from the table: their trigrams, scored against the profile.
+    unknown_grams = F.when(F.col("d0").isNull(), trigrams("word"))
+    rows = known.select("id", *[f"d{i}" for i in range(k)], F.explode_outer(unknown_grams).alias("gram"))
+    rows = rows.join(per_gram, "gram", "left")
+    dots = rows.groupBy("id").agg(*[
+        F.sum(F.coalesce(F.col(f"d{i}"), F.col(f"n{i}"))).alias(f"d{i}") for i in range(k)]) \
+        .where(F.coalesce(*[F.col(f"d{i}") for i in range(k)], F.lit(None)).isNotNull())
     candidates = [F.struct((F.coalesce(F.col(f"d{i}"), F.lit(0)).cast("double")
                             / F.sqrt(F.lit(norm2))).alias("score"),
                            F.lit(lang).alias("lang"))

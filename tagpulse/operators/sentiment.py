@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.functions import text as T
-from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon
+from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon, LexiconTable
 
 # --- fixed values -------------------------------------------------------------
 ENGLISH = "en"
@@ -52,15 +52,51 @@ def clean(posts: DataFrame) -> DataFrame:
             .select("id", T.clean_text("text").alias("text")))
 
 
-def strip_stop_words(cleaned: DataFrame, lexicon: Lexicon) -> DataFrame:
+def strip_stop_words(cleaned: DataFrame, lexicon: Lexicon | LexiconTable) -> DataFrame:
     """P8 + F6: remove interior stop words.
 
     F6 (not blank afterwards) needs no filter: P8 never removes the first
     token, and ``clean`` only passes non-empty texts.
     """
+    if isinstance(lexicon, LexiconTable):
+        return strip_stop_words_by_join(cleaned, lexicon.frame)
     return cleaned.select("id", T.remove_stop_words("text", lexicon.words(STOP)).alias("text"))
 
 
+def keyed(posts: DataFrame) -> DataFrame:
+    """Adds ``key``, a 128-bit hash of the text: with ``id`` it stands for ``(id, text)``
+    in joins, so that texts themselves are neither shuffled twice nor sorted."""
+    return posts.withColumn("key", F.md5("text"))
+
+
+def _matches(posts: DataFrame, words: DataFrame) -> DataFrame:
+    """``id, key, word, n`` + the columns of ``words``: the tokens of each distinct post that are
+    words of a lexicon, counted before they are joined.  No text is carried along."""
+    tokens = posts.select("id", "key", F.explode(T.tokens("text")).alias("word"))
+    return tokens.groupBy("id", "key", "word").agg(F.count(F.lit(1)).alias("n")).join(words, "word")
+
+
+def strip_stop_words_by_join(cleaned: DataFrame, lexicon_df: DataFrame) -> DataFrame:
+    """P8 with a stop list of any size: each post gets the stop words it holds.
+
+    The first and the last token stay, and every other that is no stop word;
+    neighbours keep the white space between them, others get one space.
+    """
+    stop = lexicon_df.where(F.col("category") == STOP).select("word").distinct()
+    posts = keyed(cleaned)
+    found = _matches(posts, stop).groupBy("id", "key").agg(F.collect_set("word").alias("found"))
+    rows = posts.join(found, ["id", "key"], "left").select(
+        "id", T.tokens("text").alias("parts"), F.regexp_extract_all("text", F.lit(r"(\s+)"), 1).alias("gaps"),
+        F.coalesce("found", F.array().cast("array<string>")).alias("found"))
+    tokens = F.arrays_zip(F.col("parts").alias("word"), F.concat(F.array(F.lit("")), "gaps").alias("gap"))
+    numbered = F.transform(tokens, lambda t, i: F.struct(t["word"].alias("word"), t["gap"].alias("gap"), i.alias("i")))
+    kept = F.filter(numbered, lambda t: (t["i"] == 0) | (t["i"] == F.size("parts") - 1) | ~F.array_contains("found", t["word"]))
+    rows = rows.withColumn("kept", kept)
+    spaced = F.transform("kept", lambda t, k: F.concat(
+        F.when(k == 0, F.lit("")).when(F.get(F.col("kept"), k - 1)["i"] == t["i"] - 1, t["gap"]).otherwise(F.lit(" ")), t["word"]))
+    return rows.select("id", F.array_join(spaced, "").alias("text"))
+
+
 def tokenized(stemmed: DataFrame) -> DataFrame:
     """P9 + A3: ``id, text, n_tokens, tokens_text`` (tokens joined by one space)."""
     toks = T.tokens("text")
@@ -74,11 +110,13 @@ def _ratio(hits: str, total: str):
     return (F.col(hits).cast("double") / F.col(total)).cast("float")
 
 
-def score(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
+def score(stemmed: DataFrame, lexicon: Lexicon | LexiconTable) -> DataFrame:
     """P10 + P11 + A1 + A2 in one projection (the original joins two passes).
 
     Output ``id, text, n_tokens, pos_hits, neg_hits, pos_score, neg_score``.
     """
+    if isinstance(lexicon, LexiconTable):
+        return score_with_lexicon_frame(stemmed, lexicon.frame)
     toks = T.tokens("text")
     counted = stemmed.select(
         "id", "text",
@@ -93,26 +131,25 @@ def score(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
 def score_with_lexicon_frame(stemmed: DataFrame, lexicon_df: DataFrame) -> DataFrame:
     """P10/P11 for lexicons too large to inline: tokens joined to the lexicon.
 
-    The tokens of every distinct ``(id, text)`` are exploded and joined on
-    ``word`` (Spark broadcasts the lexicon when its size is under the
-    broadcast threshold and otherwise shuffles; AQE splits a hot word), and
-    only the hits are counted.  Totals come from the projection, and every
-    input row (copies included) gets its counts through a left join, so posts
-    without a hit keep zero counts.
+    The distinct posts' tokens are counted per ``(id, text hash, word)`` and
+    joined on ``word`` (Spark broadcasts the lexicon when its size is under the
+    broadcast threshold and otherwise shuffles; AQE splits a hot word).  Totals
+    come from the projection, and every input row (copies included) gets its
+    counts through a left join, so posts without a hit keep zero counts.
     """
     words = lexicon_df.where(F.col("category").isin(POSITIVE, NEGATIVE)) \
-        .select("word", (F.col("category") == POSITIVE).cast("int").alias("is_pos"),
-                (F.col("category") == NEGATIVE).cast("int").alias("is_neg")) \
-        .groupBy("word").agg(F.max("is_pos").alias("is_pos"), F.max("is_neg").alias("is_neg"))
-    keys = stemmed.select("id", "text").distinct()
-    hits = (keys.select("id", "text", F.explode(T.tokens("text")).alias("word"))
-            .join(words, "word")
-            .groupBy("id", "text").agg(F.sum("is_pos").alias("pos_hits"), F.sum("is_neg").alias("neg_hits")))
-    base = stemmed.select("id", "text", F.size(T.tokens("text")).alias("n_tokens"))
-    counted = base.join(hits, ["id", "text"], "left").select(
-        "id", "text", "n_tokens",
-        F.coalesce("pos_hits", F.lit(0)).cast("int").alias("pos_hits"),
-        F.coalesce("neg_hits", F.lit(0)).cast("int").alias("neg_hits"),
+        .groupBy("word").agg(F.max((F.col("category") == POSITIVE).cast("int")).alias("is_pos"),
+                             F.max((F.col("category") == NEGATIVE).cast("int")).alias("is_neg"))
+    rows = keyed(stemmed)
+    # Tokens of a copied post are counted once for each copy; the copies divide them out.
+    copies = rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    hits = _matches(rows, words).groupBy("id", "key").agg(
+        F.sum(F.col("n") * F.col("is_pos")).alias("pos"), F.sum(F.col("n") * F.col("is_neg")).alias("neg"))
+    hits = hits.join(copies, ["id", "key"])
+    counted = rows.join(hits, ["id", "key"], "left").select(
+        "id", "text", F.size(T.tokens("text")).alias("n_tokens"),
+        F.coalesce((F.col("pos") / F.col("copies")).cast("int"), F.lit(0)).alias("pos_hits"),
+        F.coalesce((F.col("neg") / F.col("copies")).cast("int"), F.lit(0)).alias("neg_hits"),
     )
     return counted.withColumn("pos_score", _ratio("pos_hits", "n_tokens")) \
                   .withColumn("neg_score", _ratio("neg_hits", "n_tokens"))
@@ -120,14 +157,15 @@ def score_with_lexicon_frame(stemmed: DataFrame, lexicon_df: DataFrame) -> DataF
 
 def score_by_join(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
     """J1 as written in the original: a positive pass and a negative pass
-    joined on ``(id, text)``.  For distinct keys the join is 1:1 and the
-    result equals ``score`` (k copies of a key give k^2 rows, as in the
-    original); kept to show that equality."""
-    toks = T.tokens("text")
-    pos = stemmed.select("id", "text", F.size(toks).alias("n_tokens"),
-                         T.count_members(toks, lexicon.words(POSITIVE)).alias("pos_hits"))
-    neg = stemmed.select("id", "text", T.count_members(toks, lexicon.words(NEGATIVE)).alias("neg_hits"))
-    joined = pos.join(neg, ["id", "text"], "inner")
+    joined on ``(id, text)``, here by ``id`` and the text's hash, with the text
+    on one side only.  For distinct keys the join is 1:1 and the result equals
+    ``score`` (k copies of a key give k^2 rows, as in the original); kept to
+    show that equality."""
+    toks, rows = T.tokens("text"), keyed(stemmed)
+    pos = rows.select("id", "key", "text", F.size(toks).alias("n_tokens"),
+                      T.count_members(toks, lexicon.words(POSITIVE)).alias("pos_hits"))
+    neg = rows.select("id", "key", T.count_members(toks, lexicon.words(NEGATIVE)).alias("neg_hits"))
+    joined = pos.join(neg, ["id", "key"], "inner").drop("key")
     return joined.withColumn("pos_score", _ratio("pos_hits", "n_tokens")) \
                  .withColumn("neg_score", _ratio("neg_hits", "n_tokens"))
 
@@ -155,7 +193,7 @@ def scored_tweets(scored: DataFrame) -> DataFrame:
                          sentiment_of(F.col("pos_score"), F.col("neg_score")).alias("type"))
 
 
-def stemmed_english(posts: DataFrame, lexicon: Lexicon, english: DataFrame | None = None) -> DataFrame:
+def stemmed_english(posts: DataFrame, lexicon: Lexicon | LexiconTable, english: DataFrame | None = None) -> DataFrame:
     """Archive posts -> English posts -> cleaned -> stop words out (narrow).
 
     ``english`` optionally supplies the English ids (from language detection)
@@ -168,6 +206,12 @@ def stemmed_english(posts: DataFrame, lexicon: Lexicon, english: DataFrame | Non
     return strip_stop_words(clean(selected.select("id", "text")), lexicon)
 
 
-def sentiment_view(posts: DataFrame, lexicon: Lexicon, english: DataFrame | None = None) -> DataFrame:
+def sentiment_view(posts: DataFrame, lexicon: Lexicon | LexiconTable, english: DataFrame | None = None) -> DataFrame:
     """The whole batch layer: ``_id, text, sentiment``, one row per ``_id``."""
     return dedupe_view(label(score(stemmed_english(posts, lexicon, english), lexicon)))
+
+
+def label_rows(posts: DataFrame, lexicon: Lexicon | LexiconTable, english: DataFrame | None = None) -> DataFrame:
+    """``_id, sentiment`` of every English post, one row per copy: what the serving
+    layer reads of the view, so no text is shuffled for it."""
+    return label(score(stemmed_english(posts, lexicon, english), lexicon)).select("_id", "sentiment")

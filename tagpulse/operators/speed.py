@@ -21,19 +21,34 @@ def to_records(posts: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """Every record once through the JSON parser: ``value`` and the parsed ``p``."""
+    return records.select(F.col(value_col).alias("value"), F.from_json(F.col(value_col), RAW_POST).alias("p"))
+
+
+def _usable(parsed: DataFrame) -> DataFrame:
+    """records with an id and a text; others can be neither keyed nor read."""
+    return parsed.where(F.col("p.id").isNotNull() & F.col("p.text").isNotNull())
+
+
 def parse_records(records: DataFrame, value_col: str = "value") -> DataFrame:
     """P3 + F3: JSON value -> ``id, text, created``.
 
-    Malformed lines and lines without ``text`` become NULL and are dropped
-    (the original would fail the task on them).
+    Malformed lines and lines without ``id`` or ``text`` are dropped (the
+    original would fail the task on them); ``rejected_records`` has them.
     """
-    parsed = records.select(F.from_json(F.col(value_col), RAW_POST).alias("p"))
-    return parsed.select("p.id", "p.text", "p.created").where(F.col("text").isNotNull())
+    return _usable(_parsed(records, value_col)).select("p.id", "p.text", "p.created")
+
+
+def rejected_records(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """The records that ``parse_records`` drops, to count or keep."""
+    parsed = _parsed(records, value_col)
+    return parsed.where(F.col("p.id").isNull() | F.col("p.text").isNull()).select("value")
 
 
 def texts(records: DataFrame) -> DataFrame:
-    """The text of every record."""
-    return records.select(F.get_json_object("value", "$.text").alias("text"))
+    """The text of every record (the same parser and rule as P3)."""
+    return parse_records(records).select("text")
 
 
 def with_hashtag(posts: DataFrame) -> DataFrame:
@@ -50,5 +65,16 @@ def summarize(posts: DataFrame) -> DataFrame:
 
 def archive_lines(records: DataFrame, value_col: str = "value") -> DataFrame:
     """F2 + K3: raw JSON lines of the posts whose text matches the pattern."""
-    text = F.get_json_object(F.col(value_col), "$.text")
-    return records.where(has_hashtag(text)).select(F.col(value_col).alias("value"))
+    return _usable(_parsed(records, value_col)).where(has_hashtag(F.col("p.text"))).select("value")
+
+
+def archive_of_posts(posts: DataFrame) -> DataFrame:
+    """F2 + K3 for posts that are parsed already: the text is tested before the line is rendered."""
+    return to_records(posts.where(has_hashtag("text"))).select("value")
+
+
+def split_records(records: DataFrame) -> DataFrame:
+    """Both outputs of the speed layer from one parse and one match of each record: ``value, _id, hashtag, time``."""
+    parsed = _usable(_parsed(records)).select(
+        "value", F.col("p.id").alias("_id"), extract_hashtag(F.col("p.text")).alias("hashtag"), F.col("p.created").alias("time"))
+    return parsed.where(F.col("hashtag") != "")

@@ -1,7 +1,7 @@
 """Named queries over the driver's tables: one per operator of the inventory.
 
-Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; nothing is
-collected.  Computed columns carry the same names as in ``plans.oracle``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; all that is
+collected is one row per language of the labelled corpus.  Computed columns carry the same names as in ``plans.oracle``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from tagpulse.operators import intervals as I
 from tagpulse.operators import language as L
 from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
-from tagpulse.session import prepare, shared_dir
+from tagpulse.session import prepare, stored
 from tagpulse.sources import posts as P
 from tagpulse.sources.tables import read_table, spread
 
@@ -76,7 +76,7 @@ def q_hashtag_summary(spark, sf_dir):
 
 
 def q_raw_archive(spark, sf_dir):
-    return SP.archive_lines(SP.to_records(_posts(spark, sf_dir)))
+    return SP.archive_of_posts(_posts(spark, sf_dir))
 
 
 def q_stream_speed_layer(spark, sf_dir):
@@ -144,8 +144,8 @@ def q_parse_event_time(spark, sf_dir):
 def q_parse_event_time_sql(spark, sf_dir):
     spark = prepare(spark)
     register_sql_function(spark)
-    _summary(spark, sf_dir).createOrReplaceTempView("twitter_summary")
-    return spark.sql("SELECT _id, time, toTimestamp(time) AS timestamp FROM twitter_summary")
+    _summary(spark, sf_dir).createOrReplaceTempView("post_summary")
+    return spark.sql("SELECT _id, time, toTimestamp(time) AS timestamp FROM post_summary")
 
 
 def q_summary_by_time(spark, sf_dir):
@@ -166,26 +166,30 @@ def q_hashtag_preview(spark, sf_dir):
         .orderBy("timestamp", "_id").limit(PREVIEW_ROWS)
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentiment view as serving reads it: ids and labels, no text."""
+    return S.label_rows(_archive_posts(spark, sf_dir), default_lexicon())
+
+
 def q_summary_sentiment_join(spark, sf_dir):
     rows = I.with_timestamp(_summary(spark, sf_dir))
-    return I.join_sentiment(rows, _sentiment(spark, sf_dir)) \
+    return I.join_sentiment(rows, _labels(spark, sf_dir)) \
         .select("_id", "hashtag", "timestamp", "sentiment")
 
 
 def q_positive_intervals(spark, sf_dir):
-    return I.positive_intervals(_summary(spark, sf_dir), _sentiment(spark, sf_dir), SERVING_HASHTAG)
+    return I.positive_intervals(_summary(spark, sf_dir), _labels(spark, sf_dir), SERVING_HASHTAG)
 
 
 def q_positive_intervals_all(spark, sf_dir):
-    return I.positive_intervals(_summary(spark, sf_dir), _sentiment(spark, sf_dir))
+    return I.positive_intervals(_summary(spark, sf_dir), _labels(spark, sf_dir))
 
 
 def q_interval_report(spark, sf_dir):
     # The summary feeds both the hashtag list and the intervals: its narrow
     # rows are written once to the shared folder instead of re-deriving them.
-    shared_dir(spark)
-    summary = _summary(spark, sf_dir).checkpoint(eager=True)
-    return I.interval_report(summary, I.positive_intervals(summary, _sentiment(spark, sf_dir)))
+    summary = stored(_summary(spark, sf_dir), "summary")
+    return I.interval_report(summary, stored(I.positive_intervals(summary, _labels(spark, sf_dir)), "intervals"))
 
 
 # ---- language identification ---------------------------------------------------------
@@ -199,7 +203,7 @@ def _profiles(spark, sf_dir):
 
 
 def _detected(spark, sf_dir, archive):
-    return L.detect(archive, _profiles(spark, sf_dir))
+    return L.detect(archive, _profiles(spark, sf_dir), L.training_vocabulary(_documents(spark, sf_dir)))
 
 
 def q_language_profiles(spark, sf_dir):

@@ -8,8 +8,7 @@ the ``events`` and ``documents`` views with the same rule as
 from __future__ import annotations
 
 from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, default_lexicon
-from tagpulse.functions.text import (EDGE_SPACE_PATTERN, HASHTAG_PATTERN, NON_LETTER_PATTERN,
-                                     TOKEN_SEPARATOR, matchable_words, stop_word_pattern)
+from tagpulse.functions.text import matchable_words
 from tagpulse.operators.intervals import NO_INTERVALS_MESSAGE
 from tagpulse.operators.language import NON_LETTER_RUN
 from tagpulse.plans.catalog import PREVIEW_ROWS, SERVING_HASHTAG
@@ -17,6 +16,12 @@ from tagpulse.sources.posts import POLARITY_WORDS
 
 _LEX = default_lexicon()
 
+# The rules in words of their own, not the engine's patterns: posts hold no line break after ingest.
+_SPACE = r"[ \t\n\x0B\f\r]"
+_FIRST_TAG = rf"{_SPACE}(#[0-9A-Za-z_]+)"
+EDGE_SPACE_PATTERN, TOKEN_SEPARATOR = rf"^{_SPACE}+|{_SPACE}+$", rf"{_SPACE}+"
+NON_LETTER_PATTERN = r"[^a-zA-Z \t\n\x0B\f\r]"
+
 
 def _quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -46,11 +51,14 @@ def _batch_chain(suffix: str, source: str) -> dict[str, tuple[tuple[str, ...], s
     return {
         n["cleaned"]: ((source,), f"SELECT id, {_CLEAN} AS text FROM {source} WHERE text IS NOT NULL"),
         n["cleaned_ok"]: ((n["cleaned"],), f"SELECT id, text FROM {n['cleaned']} WHERE length(text) > 0"),
+        # P8 token by token: the first, the last and every token that is no stop word stay; neighbours keep
+        # the white space between them, others get one space.
         n["stemmed"]: ((n["cleaned_ok"],), f"""
-            SELECT id, text FROM (
-              SELECT id, regexp_replace(text, '{stop_word_pattern(_LEX.words(STOP))}', ' ', 'g') AS text
-              FROM {n['cleaned_ok']})
-            WHERE length(regexp_replace(text, '{EDGE_SPACE_PATTERN}', '', 'g')) > 0"""),
+            SELECT id, array_to_string(list_transform(range(1, len(kept) + 1), lambda k:
+                     (CASE WHEN k = 1 THEN '' WHEN kept[k] = kept[k - 1] + 1 THEN gaps[kept[k] - 1] ELSE ' ' END) || parts[kept[k]]), '') AS text
+            FROM (SELECT id, parts, gaps, list_filter(range(1, len(parts) + 1),
+                           lambda i: i = 1 OR i = len(parts) OR parts[i] NOT IN {_in_list(_LEX.words(STOP))}) AS kept
+                  FROM (SELECT id, {_TOKENS} AS parts, regexp_extract_all(text, '{TOKEN_SEPARATOR}') AS gaps FROM {n['cleaned_ok']}))"""),
         n["counted"]: ((n["stemmed"],), f"""
             SELECT id, text,
                    CAST(len({_TOKENS}) AS BIGINT) AS n_tokens,
@@ -96,11 +104,11 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "payload": (("posts",), """
         SELECT id AS key, json_object('id', id, 'text', text, 'created', created) AS value FROM posts"""),
     "tagged": (("posts",), f"""
-        SELECT *, regexp_extract(text, '{HASHTAG_PATTERN}', 1) AS hashtag FROM posts"""),
+        SELECT *, regexp_extract(text, '{_FIRST_TAG}', 1) AS hashtag FROM posts"""),
     "summary": (("tagged",), """
         SELECT id AS _id, hashtag, created AS time FROM tagged WHERE hashtag <> ''"""),
     "archive": (("posts",), f"""
-        SELECT * FROM posts WHERE regexp_matches(text, '{HASHTAG_PATTERN}')"""),
+        SELECT * FROM posts WHERE regexp_matches(text, '{_FIRST_TAG}')"""),
     "english": (("archive",), "SELECT id, text FROM archive WHERE lang = 'en'"),
     "timed": (("summary",), """
         SELECT _id, hashtag, time,
@@ -181,18 +189,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT id, text, created FROM (
           SELECT json_extract_string(value, '$.id') AS id, json_extract_string(value, '$.text') AS text,
                  json_extract_string(value, '$.created') AS created FROM payload)
-        WHERE text IS NOT NULL""", "payload"),
+        WHERE text IS NOT NULL AND id IS NOT NULL""", "payload"),
     "tail_texts": _with("SELECT json_extract_string(value, '$.text') AS text FROM payload", "payload"),
     "stream_tail": _with("SELECT json_extract_string(value, '$.text') AS text FROM payload", "payload"),
     "hashtag_extract": _with("SELECT id, hashtag FROM tagged", "tagged"),
     "hashtag_summary": _with("SELECT _id, hashtag, time FROM summary", "summary"),
     "raw_archive": _with(f"""
         SELECT value FROM payload
-        WHERE regexp_matches(json_extract_string(value, '$.text'), '{HASHTAG_PATTERN}')""", "payload"),
+        WHERE regexp_matches(json_extract_string(value, '$.text'), '{_FIRST_TAG}')""", "payload"),
     "stream_speed_layer": _with("SELECT _id, hashtag, time FROM summary", "summary"),
     "stream_archive": _with(f"""
         SELECT value FROM payload
-        WHERE regexp_matches(json_extract_string(value, '$.text'), '{HASHTAG_PATTERN}')""", "payload"),
+        WHERE regexp_matches(json_extract_string(value, '$.text'), '{_FIRST_TAG}')""", "payload"),
     "english_filter": _with("SELECT id, text FROM archive WHERE lang = 'en'", "archive"),
     "clean_text": _with("SELECT id, text FROM cleaned_ok", "cleaned_ok"),
     "remove_stop_words": _with("SELECT id, text FROM stemmed", "stemmed"),

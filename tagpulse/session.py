@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Conservative defaults for local runs; on a cluster these come from the
 # submitter and ``get_session`` only fills what is unset.
@@ -47,13 +48,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, a laptop) do we pick
-    one and set it, so checkpoints and job scratch land in the same place.
+    Read from the session; only when it is unset on a local master (tests, a
+    laptop) do we pick one and set it, so checkpoints and job scratch land in
+    the same place.  On a cluster a folder of one machine would be lost to the
+    others, so an unset folder is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tagpulse-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -66,6 +71,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tagpulse/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back: it runs once, the lineage
+    is cut, later scans prune its columns and Spark knows its size."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def delete_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch tables of finished jobs (those whose results still read them must be done)."""
+    return delete_path(spark, f"{shared_dir(spark)}/tagpulse")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give Python tasks this package, wherever the driver was started (once a session).
 

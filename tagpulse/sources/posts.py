@@ -35,7 +35,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, lang, text, created`` before ingest normalisation.
 
     The document count is a scalar subquery evaluated once by Spark; the
-    event -> document lookup is a shuffled hash equi-join on the computed key.
+    event -> document lookup is a sort-merge equi-join on the computed key.
     """
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -59,9 +59,9 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Both tables grow with the data, so this is a shuffle join at scale; the
     # hint keeps it one at small scale too (a broadcast of ``events`` would
-    # stream the single-split ``documents`` scan through one task).  Events
-    # are the build side: fixed-width rows, the text stays on the probe side.
-    return keyed.hint("shuffle_hash").join(documents, "doc_id").select(
+    # stream the single-split ``documents`` scan through one task).  A sort-merge
+    # join spills, and splits a hot document, where a hash build could do neither.
+    return keyed.hint("merge").join(documents, "doc_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("lang"),
         text.alias("text"),
@@ -70,9 +70,9 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_posts(raw: DataFrame) -> DataFrame:
-    """Ingest normalisation of ``text`` and ``created``."""
+    """Ingest normalisation of ``text`` and ``created``; other columns pass."""
     return raw.select(
-        "id", "lang",
+        *[c for c in raw.columns if c not in ("text", "created")],
         normalize_text("text").alias("text"),
         normalize_text("created").alias("created"),
     )

@@ -1,8 +1,9 @@
 """Readers of the serving views and of the raw archive.
 
 Views are written as one folder per micro-batch (``batch_id=N``) so that a
-replayed batch overwrites itself; readers keep one row per ``_id`` (the
-earliest batch), which also absorbs posts seen twice by the producer (D6).
+replayed batch overwrites itself; readers keep one row per post and hashtag (the
+earliest batch), which also absorbs posts seen twice by the producer (D6):
+copies of a post have the same text and so the same hashtag.
 """
 
 from __future__ import annotations
@@ -13,28 +14,45 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tagpulse.operators.speed import parse_records
 from tagpulse.schemas import SENTIMENT, SUMMARY
+from tagpulse.sinks.writers import batches, latest_version
 
 
 def _batched(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame:
     """Rows of all ``batch_id=N`` folders, with ``batch_id`` as a column."""
     with_batch = StructType(list(schema.fields) + [StructField("batch_id", LongType())])
-    return spark.read.schema(with_batch).option("basePath", path).format(fmt).load(path)
+    folders = [f"{path}/batch_id={b}" for b in batches(spark, path)]
+    if not folders:
+        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).option("basePath", path).format(fmt).load(folders)
 
 
-def read_summary_view(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S3: ``_id, hashtag, time``, one row per ``_id``.
+def read_summary_view(spark: SparkSession, path: str, hashtag: str | None = None, fmt: str = "parquet",
+                      upto: int | None = None) -> DataFrame:
+    """S3: ``_id, hashtag, time``, one row per post and hashtag.
 
-    The ``min(struct(batch_id, ...))`` aggregate keeps the earliest batch's
-    row; partial aggregation collapses copies before the shuffle on ``_id``.
+    The newest compacted table and the batches after it (``upto``: no later than that).
+    ``hashtag`` is part of the grouping key, so a filter on it reaches the scans;
+    partial aggregation collapses copies before the shuffle on the key.
     """
+    done = latest_version(spark, f"{path}/compacted")
     rows = _batched(spark, path, SUMMARY, fmt)
-    first = rows.groupBy("_id").agg(F.min(F.struct("batch_id", "hashtag", "time")).alias("r"))
-    return first.select("_id", "r.hashtag", "r.time")
+    if done is not None:
+        old = spark.read.schema(SUMMARY).format(fmt).load(f"{path}/compacted/version={done}").select(*SUMMARY.names)
+        rows = rows.where(F.col("batch_id") > done).unionByName(old.withColumn("batch_id", F.lit(done).cast("long")))
+    if upto is not None:
+        rows = rows.where(F.col("batch_id") <= upto)
+    if hashtag is not None:
+        rows = rows.where(F.col("hashtag") == F.lit(hashtag))
+    first = rows.where(F.col("_id").isNotNull()).groupBy("_id", "hashtag").agg(F.min(F.struct("batch_id", "time")).alias("r"))
+    return first.select("_id", "hashtag", "r.time")
 
 
 def read_sentiment_view(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """``_id, text, sentiment`` as written by the batch job."""
-    return spark.read.schema(SENTIMENT).format(fmt).load(path)
+    """``_id, text, sentiment`` as last written by the batch job."""
+    version = latest_version(spark, path)
+    if version is None:
+        return spark.createDataFrame([], SENTIMENT)
+    return spark.read.schema(SENTIMENT).format(fmt).load(f"{path}/version={version}")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

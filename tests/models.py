@@ -7,12 +7,16 @@ import re
 _WS = re.compile(r"\s+", re.ASCII)
 
 
-def stop_words_loop(text: str, stop: set[str]) -> str:
-    """For every stop token found (with repeats), replace \\s+word\\s+ by a space."""
-    found = [w for w in _WS.split(text) if w in stop]
-    for word in found:
-        text = re.sub(r"\s+" + word + r"\s+", " ", text, flags=re.ASCII)
-    return text
+def stop_words_rule(text: str, stop: set[str]) -> str:
+    """Our rule for P8: the first and the last token stay, and every other that is no stop word.
+
+    Tokens that were neighbours keep the white space between them, others get one space."""
+    tokens, gaps = _WS.split(text), _WS.findall(text)
+    kept = [i for i, w in enumerate(tokens) if i in (0, len(tokens) - 1) or w not in stop]
+    out = tokens[kept[0]]
+    for before, i in zip(kept, kept[1:]):
+        out += (gaps[before] if i == before + 1 else " ") + tokens[i]
+    return out
 
 
 def intervals_state_machine(rows):

@@ -1,6 +1,9 @@
-from tagpulse.functions.lexicon import Lexicon, default_lexicon, lexicon_frame, load_lexicon
+import random
+
+from tagpulse.functions.lexicon import Lexicon, LexiconTable, default_lexicon, lexicon_frame, load_lexicon
 from tagpulse.operators import sentiment as S
-from tagpulse.operators.speed import parse_records
+from tagpulse.operators.speed import parse_records, rejected_records, texts
+from tests.models import stop_words_rule
 
 LEX = Lexicon(stop=("the", "is", "like", "a"), positive=frozenset({"good", "like", "great"}),
               negative=frozenset({"bad", "trash"}))
@@ -56,9 +59,12 @@ def test_default_lexicon_is_small_and_ours():
 
 def test_bad_json_dropped(spark):
     lines = spark.createDataFrame([('{"id": 5, "text": "hi #a", "created": "x"}',), ("not json",),
-                                   ('{"id": 6, "created": "x"}',)], "value string")
+                                   ('{"id": 6, "created": "x"}',), ('{"text": "no id", "created": "x"}',),
+                                   ('{"id": 7, "text": "cut',), (None,)], "value string")
     got = parse_records(lines).collect()
     assert [(r["id"], r["text"]) for r in got] == [("5", "hi #a")]
+    assert [r["text"] for r in texts(lines).collect()] == ["hi #a"]
+    assert rejected_records(lines).count() == 5
 
 
 def test_lexicon_join_keeps_copies(spark):
@@ -68,3 +74,23 @@ def test_lexicon_join_keeps_copies(spark):
     a = sorted(map(tuple, S.score(stemmed, LEX).select(cols).collect()))
     b = sorted(map(tuple, S.score_with_lexicon_frame(stemmed, LEX.to_frame(spark)).select(cols).collect()))
     assert a == b and len(a) == 3
+
+
+def test_lexicon_of_any_size_gives_the_same_view(spark, tmp_path):
+    """The same lists, folded into the plan and joined as a table (the route beyond the inline size)."""
+    rnd = random.Random(9)
+    stop, pos, neg = ["the", "is", "of", "like", "then"], ["good", "like"], ["bad", "trash"]
+    for name, words in (("s", stop), ("p", pos), ("n", neg)):
+        (tmp_path / f"{name}.txt").write_text("\n".join(words) + "\n")
+    paths = [str(tmp_path / f"{n}.txt") for n in "spn"]
+    small, large = load_lexicon(spark, *paths), load_lexicon(spark, *paths, inline_words=2)
+    assert isinstance(small, Lexicon) and isinstance(large, LexiconTable)
+    vocabulary = [*stop, *pos, *neg, "cat", "them", "x"]
+    rows = [(str(i), "en", "".join(rnd.choice(vocabulary) + rnd.choice([" ", "  ", "\t "]) for _ in range(rnd.randint(1, 30)))) for i in range(200)]
+    rows += rows[:5] + [("one", "en", "the"), ("two", "en", "the of"), ("run", "en", "cat " + "the " * 3000 + "good")]
+    posts = _posts(spark, rows)
+    stemmed = [sorted(map(tuple, S.stemmed_english(posts, lex).collect())) for lex in (small, large)]
+    assert stemmed[0] == stemmed[1]
+    assert stemmed[0] == sorted((i, stop_words_rule(t.strip(), set(stop))) for i, _, t in rows)
+    views = [sorted(map(tuple, S.sentiment_view(posts, lex).collect())) for lex in (small, large)]
+    assert views[0] == views[1]

@@ -72,3 +72,17 @@ def test_replayed_posts_dropped_within_watermark(spark):
     assert sorted(r["id"] for r in run.archived_posts().collect()) == ["1", "3"]
     raw = spark.read.parquet(f"{root}/summary").select("_id").collect()
     assert sorted(r[0] for r in raw) == ["1", "3"]
+
+
+def test_dedupe_loses_no_old_or_untimed_post(spark):
+    """Posts far behind others in time, or without a parsable time, are kept; replays are dropped."""
+    root = scratch_path(spark, "test-late")
+    first = _posts(spark, [("1", "new #a", "Mon Jan 01 000001 UTC 2024"), ("2", "untimed #b", "no time")])
+    second = _posts(spark, [("3", "years behind #c", "Fri Jan 01 000001 UTC 2010"), ("4", "untimed #d", None), ("1", "new #a", "Mon Jan 01 000001 UTC 2024")])
+    for part in (first, second):
+        publish_records(to_records(part), f"{root}/records")
+        stream = record_stream(spark, "parquet", f"{root}/records")
+        start_speed_layer(stream, f"{root}/summary", f"{root}/archive", f"{root}/checkpoint", available_now=True,
+                          dedupe_delay="1 hour").awaitTermination()
+    run = SpeedLayerRun(spark, f"{root}/summary", f"{root}/archive")
+    assert sorted(r["id"] for r in run.archived_posts().collect()) == ["1", "2", "3", "4"]

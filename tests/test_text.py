@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagpulse.functions import text as T
-from tests.models import stop_words_loop
+from tests.models import stop_words_rule
 
 # Literal rows: text -> first hashtag ("" = none).
 HASHTAG_ROWS = [
@@ -57,7 +57,7 @@ def test_stop_words_edges_and_overlap_with_positive(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_stop_words_one_pass_equals_loop(spark, seed):
+def test_stop_words_one_pass_equals_rule(spark, seed):
     rnd = random.Random(seed)
     vocab = ["a", "an", "the", "is", "of", "cat", "dog", "there", "then", "them", "x"]
     stop = {"a", "an", "the", "is", "of", "there"}
@@ -69,7 +69,7 @@ def test_stop_words_one_pass_equals_loop(spark, seed):
         texts.append("".join(w + rnd.choice(seps) for w in words[:-1]) + words[-1])
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(T.remove_stop_words("t", stop)).collect()]
-    assert got == [stop_words_loop(t, stop) for t in texts]
+    assert got == [stop_words_rule(t, stop) for t in texts]
 
 
 def test_tokens_and_members(spark):
@@ -108,3 +108,21 @@ def test_has_letter_equals_nonempty_clean_and_f6_is_implied(spark, seed):
         assert r["h"] == r["c"]
         if r["c"]:
             assert r["nb"]
+
+
+def test_a_run_of_stop_words_may_have_any_length(spark, tmp_path):
+    """20,000 consecutive stop words, read from a file."""
+    stop = {"the", "then", "there", "of", "a", "an"}
+    rnd = random.Random(5)
+    texts = ["cat " + "the " * 20_000 + "dog", " ".join(["cat", *[rnd.choice(sorted(stop)) for _ in range(20_000)], "them"])]
+    (tmp_path / "posts.txt").write_text("\n".join(texts) + "\n")
+    got = [r[0] for r in spark.read.text(str(tmp_path / "posts.txt")).select(T.remove_stop_words("value", stop)).collect()]
+    assert sorted(got) == ["cat dog", "cat them"]
+
+
+def test_prefix_tree_matches_exactly_its_words():
+    import re
+    words = ["a", "an", "and", "andes", "the", "them", "then", "to", "x"]
+    tree = re.compile(T.prefix_tree(words))
+    for w in [*words, "", "t", "th", "ande", "thenx", "xa", "aa"]:
+        assert bool(tree.fullmatch(w)) == (w in words), w
