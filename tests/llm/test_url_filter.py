@@ -106,7 +106,7 @@ def test_templates_equal_brute_force(spark, seed):
         section = rng.choice(["spam", "news", "blog", "shop", f"rare{i}", ""])
         rows.append((i, f"http://{host}/{section}/{rng.choice(['x', 'y', str(i)])}/{i}" if section else f"http://{host}"))
         if rng.random() < 0.7:
-            marked[i] = int(rng.random() < {"spam": 0.95, "shop": 0.5}.get(section, 0.05))
+            marked[i] = int(rng.random() < {"spam": 0.95, "shop": 0.25}.get(section, 0.05))
     found = U.judge(pages(spark, rows).repartition(3), labels(spark, list(marked.items()) + [(None, 1), (3, None)])).collect()
     want = brute_templates(rows, marked)
     assert {r.page_id: r.template for r in found} == {i: t for i, (t, _) in want.items()}
