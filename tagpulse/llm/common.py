@@ -13,7 +13,7 @@ from tagpulse.llm.words import mix
 from tagpulse.session import prepare, scratch_path, ship_package
 
 #: Rows in an Arrow batch handed to Python; texts are long, so batches stay small.
-BATCH_ROWS = 512
+BATCH_ROWS = 128
 #: Largest number of ordered buckets; their bounds are literals in the plan.
 MAX_BUCKETS = 8192
 ROWS_PER_BUCKET = 512
@@ -127,7 +127,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     """A fixed-size bitmap of ids: which documents a later scan may skip for certain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << ID_BITS, np.int64)
+        counts = np.zeros(1 << ID_BITS, np.int8)
         for batch in batches:
             counts[id_slot(batch.column(0).to_numpy())] = 1
         blocks = list(counter_rows(counts))

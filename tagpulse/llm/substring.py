@@ -112,14 +112,13 @@ def _scan(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, _SCAN)
 
 
-def _picked(texts: DataFrame, keys: DataFrame, columns: list[str], others: bool = False) -> DataFrame:
-    """Texts whose id may be among ``keys`` (``others``: is not for certain), with ``d1``, and not shuffled yet."""
-    shared = texts.sparkSession.sparkContext.broadcast(id_filter(keys.select("doc")))
+def _picked(texts: DataFrame, wanted: np.ndarray, columns: list[str]) -> DataFrame:
+    """Texts whose id may be among the ``wanted`` ones, with ``d1``, and not shuffled yet."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = shared.value[id_slot(batch.column(0).to_numpy())]
-            batch = batch.filter(pa.array(~hit if others else hit))
+            batch = batch.filter(pa.array(shared.value[id_slot(batch.column(0).to_numpy())]))
             d1 = [signed(span_hashes((w := split_words(c)).hashes, w.first[:-1], w.first[1:])) for c in chunks(batch.column(1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(d1) if d1 else np.empty(0, np.int64))], [*batch.schema.names, "d1"])
 
@@ -131,7 +130,7 @@ def _windows(texts: DataFrame, asked: DataFrame, window: int) -> DataFrame:
     """``doc, d1, s, a, target, w``: the hash of each window of the spans asked for."""
     lists = asked.groupBy(*_TEXT).agg(F.collect_list(F.struct("s", "m", "a", "target")).alias("spans"))
     lists = materialize(lists, "sub-asked")
-    rows = _picked(texts, lists, ["doc", "text"]).join(lists, _TEXT).select("doc", "d1", "text", "spans")
+    rows = _picked(texts, id_filter(lists.select("doc")), ["doc", "text"]).join(lists, _TEXT).select("doc", "d1", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,29 +209,36 @@ def cut(docs: DataFrame, kept: Callable, name: str, window: int = WINDOW, key: s
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
     found = repeats(texts, window)
-    columns = ["doc", "text", "row"]
-    maybe = _picked(texts, found, columns).join(found, _TEXT, "left").select("row", "text", "spans")
-    other = _picked(texts, found, columns, others=True).select("row", "text", F.lit(None).cast("array<struct<from:int,to:int>>").alias("spans"))
+    wanted = id_filter(found.select("doc"))
+    maybe = _picked(texts, wanted, ["doc", "text", "row"]).join(found, _TEXT, "left").select("doc", "text", "row", "spans")
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def done(batch: pa.RecordBatch, spans: Callable[[int], list | None]) -> pa.RecordBatch:
+        totals, removed, made = [], [], []
+        for chunk in chunks(batch.column(1)):
+            words = split_words(chunk)
+            for r, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
+                covered = np.zeros(b - a + 1, np.int64)
+                for span in spans(chunk.lo + r) or ():
+                    covered[span["from"]] += 1
+                    covered[span["to"]] -= 1
+                at = a + np.flatnonzero(np.cumsum(covered)[:-1] == 0)
+                totals.append(b - a)
+                removed.append(b - a - len(at))
+                made.append(kept(chunk, words, r, at, removed[-1] == 0))
+        return pa.RecordBatch.from_arrays([batch.column(2), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(made, pa.string())],
+                                          ["row", "n_words", "n_removed", name])
+
+    def with_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield done(batch, lambda r, column=batch.column(3): column[r].as_py())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            totals, removed, made = [], [], []
-            for chunk in chunks(batch.column(1)):
-                words = split_words(chunk)
-                for r, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
-                    covered = np.zeros(b - a + 1, np.int64)
-                    for span in batch.column(2)[chunk.lo + r].as_py() or ():
-                        covered[span["from"]] += 1
-                        covered[span["to"]] -= 1
-                    at = a + np.flatnonzero(np.cumsum(covered)[:-1] == 0)
-                    totals.append(b - a)
-                    removed.append(b - a - len(at))
-                    made.append(kept(chunk, words, r, at, removed[-1] == 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(made, pa.string())],
-                                             ["row", "n_words", "n_removed", name])
+            yield done(batch.filter(pa.array(~shared.value[id_slot(batch.column(0).to_numpy())])), lambda r: None)
 
     schema = T.StructType([texts.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(name, T.StringType())])
-    return maybe.mapInArrow(run, schema).unionByName(other.mapInArrow(run, schema))
+    return maybe.mapInArrow(with_repeats, schema).unionByName(texts.select("doc", "text", "row").mapInArrow(without, schema))
 
 
 def cut_sql(window: int) -> str:

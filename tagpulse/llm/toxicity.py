@@ -95,7 +95,7 @@ def _count(rows: DataFrame) -> np.ndarray:
     size = 1 << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((5, size + 1), np.int64)
+        counts = np.zeros((5, size + 1), np.int32)
         for batch in batches:
             groups = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, token, first in _tokens(batch.column(0)):

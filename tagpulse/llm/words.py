@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _U = np.uint64
 _BYTE_BASE = _U(0x9E3779B97F4A7C15)
 _WORD_BASE = _U(0xD1342543DE82EF95)
