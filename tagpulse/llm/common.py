@@ -86,56 +86,62 @@ _COUNTER_SCHEMA = "block int, counts binary"
 COUNTER_BLOCKS = 64
 
 
-def counter_rows(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def counter_rows(counts: np.ndarray, kind: type = np.int64) -> Iterator[tuple[int, bytes]]:
     """A task's counters as compressed blocks."""
     import zlib
     for i, part in enumerate(np.array_split(counts, COUNTER_BLOCKS, axis=-1)):
         if part.any():
-            yield i, zlib.compress(np.ascontiguousarray(part, np.int64).tobytes(), 1)
+            yield i, zlib.compress(np.ascontiguousarray(part, kind).tobytes(), 1)
 
 
-def sum_counters(blocks: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
-    """Element-wise sum of the tasks' counters.
+def sum_counters(blocks: DataFrame, shape: tuple[int, ...], kind: type = np.int64) -> np.ndarray:
+    """Element-wise sum of the tasks' counters; unsigned kinds stop at their largest value.
 
     Blocks of one number meet in one task, which adds them as they stream in;
     the sum has the fixed size ``shape``, however large the input."""
     parts = [p.shape for p in np.array_split(np.empty(shape, np.int8), COUNTER_BLOCKS, axis=-1)]
 
+    def plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = a + b
+        if np.issubdtype(kind, np.unsignedinteger):
+            out[out < a] = np.iinfo(kind).max
+        return out
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(zlib.decompress(blob.as_py()), np.int64)
-                total[i] = total[i] + part if i in total else part
+                part = np.frombuffer(zlib.decompress(blob.as_py()), kind)
+                total[i] = plus(total[i], part) if i in total else part
         for i, part in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "counts"])
 
     import zlib
     rows = (blocks.repartition(COUNTER_BLOCKS, "block").mapInArrow(add, _COUNTER_SCHEMA)).collect()
-    found = {r["block"]: np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64) for r in rows}
-    return np.concatenate([found[i].reshape(s) if i in found else np.zeros(s, np.int64)
+    found = {r["block"]: np.frombuffer(zlib.decompress(bytes(r["counts"])), kind) for r in rows}
+    return np.concatenate([found[i].reshape(s) if i in found else np.zeros(s, kind)
                            for i, s in enumerate(parts)], axis=-1)
 
 
 #: Slots of a bitmap of ids.
-ID_BITS = 20
+ID_BITS = 23
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
     """A fixed-size bitmap of ids: which documents a later scan may skip for certain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << ID_BITS, np.int8)
+        counts = np.zeros(1 << ID_BITS, np.uint8)
         for batch in batches:
             counts[id_slot(batch.column(0).to_numpy())] = 1
-        blocks = list(counter_rows(counts))
+        blocks = list(counter_rows(counts, np.uint8))
         if blocks:
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())],
                                              ["block", "counts"])
 
-    return sum_counters(ids.mapInArrow(run, "block int, counts binary"), (1 << ID_BITS,)) > 0
+    return sum_counters(ids.mapInArrow(run, "block int, counts binary"), (1 << ID_BITS,), np.uint8) > 0
 
 
 def id_slot(ids: np.ndarray) -> np.ndarray:
