@@ -44,6 +44,8 @@ BLOCK = 256
 PERCENTILE = 0.98
 SEGMENT_IDS = 1 << 20
 END_ID = 2
+#: Bytes of text whose pieces are looked up together; more share more.
+CODED_AT_ONCE = 1 << 20
 MAGIC = b"PFB1"
 _HEAD = struct.Struct("<4sIQII")
 SEGMENT_SCHEMA = "bucket int, segment int, start bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
@@ -233,6 +235,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, key
     """Encode every text and write the ids, in ascending order of ``key``, to the folder ``path``."""
     spark = docs.sparkSession
     arrow_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     bounds = order_bounds(docs, key)
     rows = docs.select(bucket_of(F.col(key), bounds).alias("bucket"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(len(bounds) + 1, cores(spark)))
@@ -267,7 +270,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, key
                 if buckets[a] != state["bucket"]:
                     yield from flush()
                     state.update(bucket=int(buckets[a]), segment=0, start=0)
-                for chunk in chunks(batch.column(2).slice(a, b - a)):
+                for chunk in chunks(batch.column(2).slice(a, b - a), CODED_AT_ONCE):
                     flat, sizes = code.encode(chunk, end)
                     docs_.extend(keys[a + chunk.lo:a + chunk.hi])
                     lengths.extend(sizes.tolist())
