@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagpulse.llm.common import materialize, n_words
+from tagpulse.llm.common import arrow_batches, materialize, n_words
 
 CAPACITY = 2048
 GROUP_ROWS = 4096
@@ -84,6 +84,7 @@ def _pack_group(capacity: int):  # noqa: ANN202
 def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, key: str = "doc_id", text: str = "text",
              source: str = "source") -> DataFrame:
     """One row for each piece of each document: its bin ``(group_id, bin)`` and where in it the piece starts."""
+    arrow_batches(docs.sparkSession)
     rows = materialize(docs.select(
         F.col(key).alias("doc_id"), n_words(F.col(text)).alias("size"), F.col(source).alias("source"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("cluster")), "pack-rows")
