@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from tagpulse.llm.common import arrow_batches, materialize
 
 TABLES = 16
-PROBES = 6
+PROBES = 8
 ROUNDS = 3
 BUCKET_ROWS = 4096
 PIECE_ROWS = 4096
