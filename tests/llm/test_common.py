@@ -42,7 +42,8 @@ def test_look_up_takes_heavy_and_light_keys(spark, monkeypatch):
 
 def test_ordered_buckets(spark, monkeypatch):
     monkeypatch.setattr(C, "ROWS_PER_BUCKET", 10)
-    ids = [random.Random(2).randrange(-1000, 1000) for _ in range(500)]
+    rng = random.Random(2)
+    ids = [rng.randrange(-1000, 1000) for _ in range(500)]
     df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long")
     bounds = C.order_bounds(df, "id")
     assert len(bounds) > 20 and bounds == sorted(bounds)
