@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tagpulse.functions import text as T
 from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon, LexiconTable
+from tagpulse.session import stored
 
 # --- fixed values -------------------------------------------------------------
 ENGLISH = "en"
@@ -83,7 +84,7 @@ def strip_stop_words_by_join(cleaned: DataFrame, lexicon_df: DataFrame) -> DataF
     neighbours keep the white space between them, others get one space.
     """
     stop = lexicon_df.where(F.col("category") == STOP).select("word").distinct()
-    posts = keyed(cleaned)
+    posts = stored(keyed(cleaned), "cleaned")
     found = _matches(posts, stop).groupBy("id", "key").agg(F.collect_set("word").alias("found"))
     rows = posts.join(found, ["id", "key"], "left").select(
         "id", T.tokens("text").alias("parts"), F.regexp_extract_all("text", F.lit(r"(\s+)"), 1).alias("gaps"),
@@ -137,10 +138,11 @@ def score_with_lexicon_frame(stemmed: DataFrame, lexicon_df: DataFrame) -> DataF
     come from the projection, and every input row (copies included) gets its
     counts through a left join, so posts without a hit keep zero counts.
     """
+    # Three passes read the rows: they are made once and stored.
     words = lexicon_df.where(F.col("category").isin(POSITIVE, NEGATIVE)) \
         .groupBy("word").agg(F.max((F.col("category") == POSITIVE).cast("int")).alias("is_pos"),
                              F.max((F.col("category") == NEGATIVE).cast("int")).alias("is_neg"))
-    rows = keyed(stemmed)
+    rows = stored(keyed(stemmed), "scored")
     # Tokens of a copied post are counted once for each copy; the copies divide them out.
     copies = rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("copies"))
     hits = _matches(rows, words).groupBy("id", "key").agg(
@@ -161,7 +163,7 @@ def score_by_join(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
     on one side only.  For distinct keys the join is 1:1 and the result equals
     ``score`` (k copies of a key give k^2 rows, as in the original); kept to
     show that equality."""
-    toks, rows = T.tokens("text"), keyed(stemmed)
+    toks, rows = T.tokens("text"), stored(keyed(stemmed), "scored")
     pos = rows.select("id", "key", "text", F.size(toks).alias("n_tokens"),
                       T.count_members(toks, lexicon.words(POSITIVE)).alias("pos_hits"))
     neg = rows.select("id", "key", T.count_members(toks, lexicon.words(NEGATIVE)).alias("neg_hits"))
