@@ -2,11 +2,12 @@
 
 A pseudo-rotation (three rounds of random signs and a fast Hadamard transform) turns a unit vector; its
 hash is the signed axis nearest to it.  ``hashes`` of them name a bucket of a table, and every vector
-lies in one bucket of each of ``TABLES`` tables.  A query probes, in every table, the ``PROBES ** hashes``
+lies in one bucket of each of ``TABLES`` tables.  A query probes, in every table, the ``PROBES[hashes - 1] ** hashes``
 buckets whose axes fit it best, and is compared exactly, in double precision, with all vectors there.
 
 The number of hashes follows from the number of vectors (``geometry``): buckets hold about
-``BUCKET_ROWS`` vectors at any size.  A bucket that holds more is cut into pieces by a hash, each
+``BUCKET_ROWS`` vectors, up to the largest number of hashes whose recall was measured.  The finer the buckets, the
+more of them a query must probe for the same recall, so ``PROBES`` grows with the number of hashes.  A bucket that holds more is cut into pieces by a hash, each
 probed by itself, so no task holds more than a piece at once; only the best ``k + 1`` of a piece leave it.
 Equal vectors are indexed once, with their ``k + 1`` smallest ids, and equal queries searched once; a
 vector that makes up a third of all rows costs no more than others.  A query that finds fewer than
@@ -31,7 +32,10 @@ from pyspark.sql.window import Window
 from tagpulse.llm.common import arrow_batches, materialize
 
 TABLES = 16
-PROBES = 8
+#: Axes of a hash that make up the probes, by the number of hashes: recall of 0.9 and more on the given 64-dimensional vectors.
+PROBES = (8, 14, 24)
+#: Probes that a task holds at once.
+PROBE_ROWS = 65_536
 ROUNDS = 3
 BUCKET_ROWS = 4096
 PIECE_ROWS = 4096
@@ -41,9 +45,9 @@ _CELL = ["dim", "t", "bucket"]
 
 
 def geometry(vectors: int, dim: int) -> int:
-    """Hashes of a table for buckets of about ``BUCKET_ROWS``; one at least."""
+    """Hashes of a table for buckets of about ``BUCKET_ROWS``; one at least, and no more than ``PROBES`` has a number for."""
     sides = 2 * _padded(dim)
-    return max(1, round(math.log(max(vectors / BUCKET_ROWS, 1)) / math.log(sides)))
+    return min(len(PROBES), max(1, round(math.log(max(vectors / BUCKET_ROWS, 1)) / math.log(sides))))
 
 
 def _padded(dim: int) -> int:
@@ -99,8 +103,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _addressed(vectors: DataFrame, hashes: dict[int, int], tables: int, count: int | None) -> DataFrame:
-    """One row for each vector and table (``count`` None) or for each probe."""
+def _addressed(vectors: DataFrame, hashes: dict[int, int], tables: int, counts: dict[int, int] | None) -> DataFrame:
+    """One row for each vector and table (``counts`` None) or for each probe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,9 +113,11 @@ def _addressed(vectors: DataFrame, hashes: dict[int, int], tables: int, count: i
                 part = batch.filter(pa.array(dims == dim))
                 x = _matrix(part.column(2), dim)
                 x = x / np.linalg.norm(x, axis=1)[:, None]
-                for t in range(tables):
-                    cells = buckets(x, t, hashes[dim])[:, None] if count is None else probes(x, t, hashes[dim], count)
-                    row = np.repeat(np.arange(len(x)), cells.shape[1])
+                step = len(x) if counts is None else max(1, PROBE_ROWS // counts[dim] ** hashes[dim])
+                for t, a in ((t, a) for t in range(tables) for a in range(0, len(x), step)):
+                    some = x[a:a + step]
+                    cells = buckets(some, t, hashes[dim])[:, None] if counts is None else probes(some, t, hashes[dim], counts[dim])
+                    row = np.repeat(np.arange(a, a + len(some)), cells.shape[1])
                     yield pa.RecordBatch.from_arrays(
                         [*[part.column(i).take(pa.array(row)) for i in range(3)], pa.array(np.full(len(row), t, np.int32)), pa.array(cells.ravel())],
                         ["rep", "dim", "vec", "t", "bucket"])
@@ -174,8 +180,10 @@ def _searched(index: DataFrame, asked: DataFrame, keep: int) -> DataFrame:
 
 
 def search(vectors: DataFrame, is_query, k: int = K, key: str = "vec_id", vector: str = "embedding",  # noqa: ANN001
-           tables: int = TABLES, count: int = PROBES) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which ``is_query(id)`` holds."""
+           tables: int = TABLES, count: int | None = None) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which ``is_query(id)`` holds.
+
+    ``count``: axes of a hash to probe, instead of those of ``PROBES``."""
     spark = vectors.sparkSession
     arrow_batches(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
@@ -189,13 +197,14 @@ def search(vectors: DataFrame, is_query, k: int = K, key: str = "vec_id", vector
     distinct = materialize(least.groupBy("vec").agg(F.min("id").alias("rep"), F.array_sort(F.collect_set("id")).alias("ids"))
                            .select("rep", F.size("vec").cast("int").alias("dim"), "vec", "ids"), "ann-vectors")
     hashes = {r["dim"]: geometry(r["n"], r["dim"]) for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {dim: PROBES[n - 1] if count is None else count for dim, n in hashes.items()}
     index = materialize(_addressed(distinct.select("rep", "dim", "vec"), hashes, tables, None), "ann-index")
     queries = rows.where(is_query(F.col("id")))
     asked_vectors = materialize(queries.groupBy("vec").agg(F.min("id").alias("rep")).select("rep", F.size("vec").cast("int").alias("dim"), "vec"), "ann-queries")
     # Which search answers which query row.
     members = materialize(queries.join(asked_vectors.select("vec", F.col("rep").alias("query")), "vec")
                           .select(F.col("id").alias("query_id"), "query").distinct(), "ann-members")
-    found = materialize(_searched(index, _addressed(asked_vectors, hashes, tables, count), k + 1), "ann-found")
+    found = materialize(_searched(index, _addressed(asked_vectors, hashes, tables, counts), k + 1), "ann-found")
     ids = distinct.select("rep", "ids")
 
     def best_ids(pairs: DataFrame) -> DataFrame:

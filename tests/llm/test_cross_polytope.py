@@ -98,3 +98,38 @@ def test_more_hashes_for_more_vectors(spark, monkeypatch):
     monkeypatch.setattr(C, "BUCKET_ROWS", 2)
     got, want = found(vectors(spark, rows)), brute(rows)
     assert sum(len({i for i, _ in got[q]} & {i for i, _ in v}) for q, v in want.items()) / sum(map(len, want.values())) >= 0.9
+
+
+def recall(got, want):
+    return sum(len({i for i, _ in got.get(q, [])} & {i for i, _ in v}) for q, v in want.items()) / sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize(("hashes", "bucket_rows", "every"), [(2, 1, 50), (3, 0.01, 500)])
+def test_recall_of_more_hashes_on_the_given_vectors(spark, monkeypatch, hashes, bucket_rows, every):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    monkeypatch.setattr(C, "BUCKET_ROWS", bucket_rows)
+    assert C.geometry(len(rows), 64) == hashes
+    got = {}
+    for r in C.search(df, lambda key: key % every == 0).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    print(hashes, "hashes: recall", found_share := recall(got, brute(rows, every=every)))
+    assert found_share >= 0.9
+
+
+def test_probes_reach_the_nearest_by_any_number_of_hashes(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    at, x = {i: n for n, (i, _) in enumerate(rows)}, np.array([v for _, v in rows], float)
+    want = brute(rows)
+    asked = x[[at[q] for q in want]]
+    near = np.array([[at[i] for i, _ in v] for v in want.values()])
+    for hashes, count in enumerate(C.PROBES, 1):
+        hit, seen = np.zeros(near.shape, bool), np.zeros((len(asked), len(x)), bool)
+        for t in range(C.TABLES):
+            own = C.buckets(x, t, hashes)
+            for n, p in enumerate(C.probes(asked, t, hashes, count)):
+                hit[n] |= np.isin(own[near[n]], p)
+                seen[n] |= np.isin(own, p)
+        print(hashes, "hashes: recall", hit.mean(), "compared", seen.mean())
+        assert hit.mean() >= 0.9
