@@ -2,10 +2,12 @@
 
 Every page walks down its host's tree, one path segment a level:
 
-* Segments that a node sees often enough (``MIN_PAGES`` pages and ``MIN_SHARE`` of the
-  node) are branches of their own; all others are variable and become the wildcard ``*``.
+* Segments that a node sees on ``MIN_PAGES`` pages or more are branches of their own, however large
+  the node; all others are variable and become the wildcard ``*``.
 * Branches of a node are ordered by their smoothed share of bad labelled pages, and
-  neighbours merge unless a two-proportion test tells them apart.  Merged branches go on as one.
+  neighbours merge unless a two-proportion test tells them apart; one with less than ``PRIOR`` labels
+  goes with the one before it.  Merged branches go on as one, named
+  by their segments; of more than ``NAMES`` the first, and ``+`` the number of others.
 
 What a page has walked is its template.  A template's purity is its share of bad labelled
 pages, smoothed towards its host's, and that towards the share over all; templates at ``REJECT``
@@ -13,7 +15,7 @@ or more are blocked.
 
 Every level costs aggregates with partial sums over all pages and joins with small tables of
 nodes; a host with a third of the pages is pre-aggregated, and its pages are never
-gathered.  A node has at most ``1 / MIN_SHARE + 1`` branches.  Segments beyond ``MAX_DEPTH`` fall
+gathered.  A node has a branch for every ``MIN_PAGES`` of its pages at most.  Segments beyond ``MAX_DEPTH`` fall
 under one wildcard.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule and is
@@ -33,7 +35,10 @@ from tagpulse.llm.common import materialize
 # The rules (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MIN_PAGES = 20
-MIN_SHARE = 0.02
+#: No share of its node is asked of a branch; the tests' model reads this.
+MIN_SHARE = 0.0
+#: Siblings differ in every name, so the first ones tell them apart.
+NAMES = 50
 MAX_DEPTH = 6
 SIMILAR_Z = 1.96
 PRIOR = 10.0
@@ -67,9 +72,7 @@ def _level(walk: DataFrame, depth: int, overall: float) -> DataFrame:
     sums = [F.count(F.lit(1)).alias("pages"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")]
     nodes = materialize(walk.groupBy(*node).agg(*sums), "url-nodes")
     often = walk.groupBy(*node, "segment").agg(*sums).where(F.col("pages") >= MIN_PAGES)
-    literal = materialize(
-        often.join(nodes.select(*node, F.col("pages").alias("of")), node).where(F.col("pages") >= MIN_SHARE * F.col("of"))
-        .select(*node, F.col("segment").alias("name"), "pages", "labelled", "bad"), "url-branches")
+    literal = materialize(often.withColumnRenamed("segment", "name"), "url-branches")
     own = literal.groupBy(*node).agg(*[F.sum(c).alias(f"own_{c}") for c in ("pages", "labelled", "bad")])
     rest = (nodes.join(own, node, "left").select(*node, F.lit("*").alias("name"), *[
         (F.col(c) - F.coalesce(f"own_{c}", F.lit(0))).alias(c) for c in ("pages", "labelled", "bad")]).where("pages > 0"))
@@ -78,14 +81,23 @@ def _level(walk: DataFrame, depth: int, overall: float) -> DataFrame:
     n, bad = F.col("labelled"), F.col("bad")
     by_rate = Window.partitionBy(*node).orderBy("rate", "kind", "name")
     rated = branches.withColumn("rate", _smoothed(bad, n, F.lit(overall)))
-    pooled = (bad + F.lag(bad).over(by_rate)) / F.greatest(n + F.lag(n).over(by_rate), F.lit(1))
-    gap = F.abs(bad / F.greatest(n, F.lit(1)) - F.lag(bad / F.greatest(n, F.lit(1))).over(by_rate))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / F.lag(n).over(by_rate)))
-    apart = (n > 0) & (F.lag(n).over(by_rate) > 0) & (gap > SIMILAR_Z * spread)
-    classed = rated.withColumn("new", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("class", F.sum("new").over(by_rate))
+    # Branches with few labels stand between others without telling anything; they would bridge what is apart.
+    known_rate = n >= PRIOR
+    before = F.last(F.when(known_rate, F.struct(bad, n)), ignorenulls=True).over(by_rate.rowsBetween(Window.unboundedPreceding, -1))
+    last_n, last_bad = F.col("before.labelled"), F.col("before.bad")
+    pooled = (bad + last_bad) / F.greatest(n + last_n, F.lit(1))
+    gap = F.abs(bad / F.greatest(n, F.lit(1)) - last_bad / F.greatest(last_n, F.lit(1)))
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(n, F.lit(1)) + 1 / F.greatest(last_n, F.lit(1))))
+    apart = known_rate & (gap > SIMILAR_Z * spread)
+    classed = rated.withColumn("before", before).withColumn("new", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("class", F.sum("new").over(by_rate))
     shown = F.when(F.col("kind") == 1, "*").otherwise(F.col("name"))
-    names = F.concat_ws("|", F.sort_array(F.collect_list(shown).over(Window.partitionBy(*node, "class"))))
-    known = materialize(classed.select(*node, "kind", "name", F.concat("template", F.lit("/{"), names, F.lit("}")).alias("next")), "url-classes")
+    classed = materialize(classed.select(*node, "class", "kind", "name", shown.alias("shown")), "url-classed")
+    place = F.row_number().over(Window.partitionBy(*node, "class").orderBy("shown", "kind"))
+    listed = classed.withColumn("place", place).groupBy(*node, "class").agg(
+        F.count(F.lit(1)).alias("of"), F.sort_array(F.collect_list(F.when(F.col("place") <= NAMES, F.col("shown")))).alias("names"))
+    more = F.when(F.col("of") > NAMES, F.concat(F.lit("|+"), F.col("of") - NAMES)).otherwise("")
+    named = listed.select(*node, "class", F.concat("template", F.lit("/{"), F.concat_ws("|", "names"), more, F.lit("}")).alias("next"))
+    known = materialize(classed.join(named, [*node, "class"]).select(*node, "kind", "name", "next"), "url-classes")
     literals = known.where("kind = 0").select(*node, F.col("name").alias("segment"), "next")
     wild = known.where("kind = 1").select(*node, F.col("next").alias("wild"))
     return (walk.join(literals, [*node, "segment"], "left").join(wild, node, "left")

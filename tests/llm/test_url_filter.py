@@ -122,3 +122,13 @@ def test_no_labels_repeated_pages_and_no_pages(spark):
     found = U.judge(pages(spark, [(1, "http://a.com/x"), (1, "http://a.com/x"), (1, "http://b.com/y"), (None, "http://c.com/z")]), labels(spark, [])).collect()
     assert len(found) == 4 and {r.verdict for r in found} == {"allow"}
     assert U.judge(pages(spark, []), labels(spark, [(1, 1)])).count() == 0
+
+
+def test_small_directories_of_a_large_host_are_branches(spark):
+    names = ["spam", *[f"d{k}" for k in range(100)]]
+    rows = [(n, f"http://a.com/{name}/{n}") for n, name in enumerate(name for name in names for _ in range(30))]
+    found = U.judge(pages(spark, rows), labels(spark, [(n, int("/spam/" in u)) for n, u in rows])).collect()
+    assert len(found) == len(rows)
+    assert {r.path.split("/")[1] for r in found if r.verdict == "block"} == {"spam"}
+    assert sum(r.verdict == "block" for r in found) == 30
+    assert len({r.template for r in found}) == 2 and max(len(r.template) for r in found) < 300
