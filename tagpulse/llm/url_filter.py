@@ -15,8 +15,8 @@ or more are blocked.
 
 Every level costs aggregates with partial sums over all pages and joins with small tables of
 nodes; a host with a third of the pages is pre-aggregated, and its pages are never
-gathered.  A node has a branch for every ``MIN_PAGES`` of its pages at most.  Segments beyond ``MAX_DEPTH`` fall
-under one wildcard.
+gathered.  A node has a branch for every ``MIN_PAGES`` of its pages at most.  There is no greatest depth: all
+pages walk ``EVEN_DEPTH`` segments, and then those of nodes that could still split, until there are none.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule and is
 judged by its tree like others; rows with the same page id are judged each by its url; labels
@@ -39,7 +39,9 @@ MIN_PAGES = 20
 MIN_SHARE = 0.0
 #: Siblings differ in every name, so the first ones tell them apart.
 NAMES = 50
-MAX_DEPTH = 6
+#: No depth ends the walk; the tests' model reads this.
+MAX_DEPTH = float("inf")
+EVEN_DEPTH = 6
 SIMILAR_Z = 1.96
 PRIOR = 10.0
 REJECT = 0.5
@@ -104,6 +106,15 @@ def _level(walk: DataFrame, depth: int, overall: float) -> DataFrame:
             .select("page_id", "url", "segments", "labelled", "bad", "host", "path", F.coalesce("next", "wild").alias("template")))
 
 
+def _unsettled(walk: DataFrame, depth: int) -> DataFrame:
+    """The nodes that could still split: labels of both kinds, pages enough for a branch, different paths, a further segment."""
+    sums = walk.groupBy("host", "template").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("labelled").alias("n"), F.sum("bad").alias("b"), F.max(F.size("segments")).alias("deepest"),
+        F.min("path").alias("low"), F.max("path").alias("high"))
+    going = sums.where((F.col("pages") >= MIN_PAGES) & (F.col("b") > 0) & (F.col("b") < F.col("n")) & (F.col("deepest") > depth) & (F.col("low") < F.col("high")))
+    return materialize(going.select("host", "template"), "url-unsettled")
+
+
 def templates(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url: str = "url") -> DataFrame:
     """``page_id, url, host, path, template, purity`` of every page; ``labels``: ``(page_id, bad 0 or 1)``."""
     host, path = host_and_path(F.col("url"))
@@ -115,8 +126,17 @@ def templates(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url
         F.coalesce("bad", F.lit(0)).alias("bad"), F.lit("").alias("template")), "url-walk")
     total = walk.agg(F.sum("labelled"), F.sum("bad"), F.max(F.size("segments"))).first()
     overall = (total[1] or 0) / total[0] if total[0] else 0.0
-    for depth in range(min(total[2] or 0, MAX_DEPTH)):
+    for depth in range(min(total[2] or 0, EVEN_DEPTH)):
         walk = materialize(_level(walk, depth, overall), "url-walk")
+    settled = []
+    for depth in range(EVEN_DEPTH, total[2] or 0):
+        going = _unsettled(walk, depth)
+        if going.isEmpty():
+            break
+        settled.append(materialize(walk.join(going, ["host", "template"], "left_anti"), "url-settled"))
+        walk = materialize(_level(walk.join(going, ["host", "template"], "left_semi"), depth, overall), "url-walk")
+    for rows in settled:
+        walk = walk.unionByName(rows)
     hosts = walk.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).select(
         "host", _smoothed(F.col("b"), F.col("n"), F.lit(overall)).alias("host_rate"))
     leaves = walk.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))

@@ -132,3 +132,13 @@ def test_small_directories_of_a_large_host_are_branches(spark):
     assert {r.path.split("/")[1] for r in found if r.verdict == "block"} == {"spam"}
     assert sum(r.verdict == "block" for r in found) == 30
     assert len({r.template for r in found}) == 2 and max(len(r.template) for r in found) < 300
+
+
+def test_segments_at_any_depth_take_part(spark):
+    ends = ["spam", "news"]
+    rows = [(n, f"http://a.com/1/2/3/4/5/6/7/{ends[n % 2]}/{n}") for n in range(120)]
+    marked = [(n, 1 - n % 2) for n, _ in rows]
+    rows += [(1000, "http://a.com/" + "/".join("x" * 60)), (1001, "http://b.com/y")]
+    found = U.judge(pages(spark, rows), labels(spark, marked)).collect()
+    assert sorted(r.page_id for r in found) == [n for n, _ in rows]
+    assert {r.page_id for r in found if r.verdict == "block" and r.page_id < 1000} == set(range(0, 120, 2))
