@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bestfit, cross_polytope, hash_ring, mixing, ngram_join, pfor, spotsigs, substring, toxicity, url_filter
+from tagpulse.llm import (bestfit, cross_polytope, hash_ring, lm_scoring, mixing, ngram_join, pfor, ranked_search, spelling, spotsigs, substring, toxicity,
+                          url_filter)
 from tagpulse.llm.common import table
 from tagpulse.session import scratch_path
 
@@ -83,8 +84,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those whose checksum leaves no 2 modulo seven."""
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of five letters and three occurrences with their near words' most frequent and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op9_substring, op10_mixing)}
+    f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_toxicity, op4_spotsigs, op5_cross_polytope, op6_pfor, op7_hash_ring, op8_best_fit, op9_substring, op10_mixing,
+                              op11_ranked_search, op12_lm_scoring, op13_spelling)}
 
 ORACLE_SQL: dict[str, str] = {"op1_ngram_join": ngram_join.linked_sql(3, 90), "op9_substring": substring.cut_sql(substring.WINDOW),
-                              "op10_mixing": mixing.SHARES_SQL}
+                              "op10_mixing": mixing.SHARES_SQL, "op11_ranked_search": ranked_search.search_sql()}

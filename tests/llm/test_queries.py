@@ -17,7 +17,8 @@ from tools.compare import frame_digest
 @pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
 def test_query_matches_oracle(spark, sf_small, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_small}/documents.parquet')")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     df = Q.QUERIES[name](spark, sf_small)
     res = con.execute(Q.ORACLE_SQL[name])
     columns, rows = [d[0] for d in res.description], res.fetchall()
@@ -27,14 +28,14 @@ def test_query_matches_oracle(spark, sf_small, name):
 
 def test_every_operator_is_registered():
     names = set(E.queries())
-    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*Q.QUERIES, "pipeline"} <= names
     assert set(Q.ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "labels", "pages", "embeddings"):
+    for table in ("documents", "labels", "pages", "embeddings", "benchmark"):
         write(spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(0), tmp_path, table)
     assert Q.QUERIES[name](spark, str(tmp_path)).count() == 0
 
