@@ -81,15 +81,21 @@ def prefix_tree(words: Iterable[str]) -> str:
         for letter in word:
             node = node.setdefault(letter, {})
         node[""] = {}
-
-    def spell(node: dict) -> str:
-        rest = [letter + spell(node[letter]) for letter in sorted(node) if letter]
-        if not rest:
-            return ""
-        body = rest[0] if len(rest) == 1 and "" not in node else "(?:" + "|".join(rest) + ")"
-        return body + "?" if "" in node else body
-
-    return spell(tree)
+    # Spelled from the leaves upwards with a stack of its own: a word may have any length.
+    spelled: dict[int, str] = {}
+    waiting = [tree]
+    while waiting:
+        node = waiting[-1]
+        below = [node[letter] for letter in node if letter]
+        missing = [child for child in below if id(child) not in spelled]
+        if missing:
+            waiting += missing
+            continue
+        waiting.pop()
+        rest = [letter + spelled[id(node[letter])] for letter in sorted(node) if letter]
+        body = "" if not rest else rest[0] if len(rest) == 1 and "" not in node else "(?:" + "|".join(rest) + ")"
+        spelled[id(node)] = body + "?" if rest and "" in node else body
+    return spelled[id(tree)]
 
 
 def stop_word_pattern(stop_words: Iterable[str]) -> str | None:

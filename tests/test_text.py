@@ -126,3 +126,12 @@ def test_prefix_tree_matches_exactly_its_words():
     tree = re.compile(T.prefix_tree(words))
     for w in [*words, "", "t", "th", "ande", "thenx", "xa", "aa"]:
         assert bool(tree.fullmatch(w)) == (w in words), w
+
+
+def test_a_stop_word_may_have_any_length(spark):
+    long = "ab" * 5000
+    tree = T.prefix_tree([long, long + "c", "ab"])
+    import re
+    assert re.fullmatch(tree, long + "c") and re.fullmatch(tree, "ab") and not re.fullmatch(tree, long + "d")
+    df = spark.createDataFrame([(f"x {'ab' * 750} y",)], "t string")
+    assert df.select(T.remove_stop_words("t", ["ab" * 750])).first()[0] == "x y"
