@@ -3,7 +3,7 @@
     python -m tagpulse.jobs ingest  --posts DIR [--posts-format json] [--stream] SINK
     python -m tagpulse.jobs tail    SOURCE
     python -m tagpulse.jobs speed   SOURCE --views DIR [--once] [--dedupe-delay "1 hour"]
-    python -m tagpulse.jobs batch   --views DIR ENGLISH LEXICON
+    python -m tagpulse.jobs batch   --views DIR [--increment] ENGLISH LEXICON
     python -m tagpulse.jobs serve   --views DIR HASHTAG
     python -m tagpulse.jobs compact --views DIR
 
@@ -13,7 +13,8 @@ kafka.bootstrap.servers=HOST:PORT --option subscribe=TOPIC`` (``topic=TOPIC`` fo
 as English: ``--labelled PARQUET`` (``text, lang``: detect), ``--lang-column`` (the archive's lines have a
 ``lang`` field) or ``--all-english``.  LEXICON is ``--lexicon STOP POSITIVE NEGATIVE`` or ``--packaged-lexicon``.
 
-``--views`` holds ``summary/``, ``archive/``, ``sentiment/`` and the stream
+``--increment`` reads only the archive folders that no increment before has read.
+``--views`` holds ``summary/``, ``archive/``, ``rejected/``, ``sentiment/`` or ``increments/`` and the stream
 checkpoint.  Results are DataFrames; only ``serve`` prints, streaming its rows
 to the driver one partition at a time.
 """
@@ -30,18 +31,19 @@ from tagpulse.functions.lexicon import Lexicon, LexiconTable, default_lexicon, l
 from tagpulse.operators import intervals as I
 from tagpulse.operators import language as L
 from tagpulse.operators import sentiment as S
-from tagpulse.operators.speed import to_records
+from tagpulse.operators.speed import parse_records, to_records
 from tagpulse.schemas import RAW_POST
 from tagpulse.session import delete_scratch, get_session, prepare, stored
-from tagpulse.sinks.writers import compact_summary, publish_records, show, write_view
+from tagpulse.sinks.increments import SentimentIncrements
+from tagpulse.sinks.writers import publish_records, show, write_view
 from tagpulse.sources.posts import normalize_posts
-from tagpulse.sources.views import read_archive, read_sentiment_view, read_summary_view
+from tagpulse.sources.views import read_sentiment_view, summary_view
 from tagpulse.streaming.speed_layer import MICRO_BATCH, record_stream, start_speed_layer, start_tail
 
 
 def layout(views: str) -> dict[str, str]:
     views = views.rstrip("/")
-    return {name: f"{views}/{name}" for name in ("summary", "archive", "sentiment", "checkpoint", "ingest_checkpoint")}
+    return {name: f"{views}/{name}" for name in ("summary", "archive", "sentiment", "increments", "rejected", "checkpoint", "ingest_checkpoint")}
 
 
 def ingest(spark: SparkSession, posts: str, records: str | None, posts_fmt: str = "json", fmt: str = "parquet",
@@ -70,10 +72,11 @@ def tail(spark: SparkSession, records: str | None, fmt: str = "parquet", options
 def speed(spark: SparkSession, records: str | None, views: str, fmt: str = "parquet",
           options: dict | None = None, once: bool = False, echo: bool = False,
           timeout_s: float | None = None, dedupe_delay: str | None = None):
-    """Summary view + raw archive from the record stream."""
+    """Summary view, raw archive and rejected records from the record stream."""
     paths = layout(views)
     query = start_speed_layer(record_stream(spark, fmt, records, options), paths["summary"],
-                              paths["archive"], paths["checkpoint"], available_now=once, echo=echo, dedupe_delay=dedupe_delay)
+                              paths["archive"], paths["checkpoint"], available_now=once, echo=echo, dedupe_delay=dedupe_delay,
+                              rejected_path=paths["rejected"])
     query.awaitTermination(timeout_s)
     return query
 
@@ -88,25 +91,45 @@ def batch(spark: SparkSession, views: str, lexicon: Lexicon | LexiconTable, labe
     if (labelled is not None) + lang_column + all_english != 1:
         raise ValueError("say which posts are English: labelled, lang_column or all_english")
     paths = layout(views)
-    archive = read_archive(spark, paths["archive"])
+    write_view(sentiment_of_lines(spark.read.text(paths["archive"]).select("value"), lexicon, labelled, lang_column), paths["sentiment"])
+    return read_sentiment_view(spark, paths["sentiment"])
+
+
+def sentiment_of_lines(lines: DataFrame, lexicon: Lexicon | LexiconTable, labelled: DataFrame | None = None, lang_column: bool = False) -> DataFrame:
+    """``_id, text, sentiment`` of archived lines (``value``): English by detection, by their ``lang`` field, or all."""
     if labelled is not None:
-        labelled = labelled.select("text", "lang")
+        archive, labelled = parse_records(lines), labelled.select("text", "lang")
         english = L.english_ids(L.detect(archive.select("id", "text"), L.train_profiles(labelled), L.training_vocabulary(labelled)))
-        view = S.sentiment_view(archive, lexicon, english=english)
-    elif lang_column:
-        lines = spark.read.text(paths["archive"]).select(F.from_json("value", "id STRING, text STRING, lang STRING").alias("p"))
-        view = S.sentiment_view(lines.select("p.*").where("id is not null and text is not null"), lexicon)
-    else:
-        view = S.sentiment_view(archive.withColumn("lang", F.lit(S.ENGLISH)), lexicon)
-    write_view(view, paths["sentiment"])
-    return read_sentiment_view(spark, paths["sentiment"])
+        return S.sentiment_view(archive, lexicon, english=english)
+    if lang_column:
+        posts = lines.select(F.from_json("value", "id STRING, text STRING, lang STRING").alias("p")).select("p.*")
+        return S.sentiment_view(posts.where("id is not null and text is not null"), lexicon)
+    return S.sentiment_view(parse_records(lines).withColumn("lang", F.lit(S.ENGLISH)), lexicon)
+
+
+def batch_increment(spark: SparkSession, views: str, lexicon: Lexicon | LexiconTable, labelled: DataFrame | None = None,
+                    lang_column: bool = False, all_english: bool = False) -> list[int]:
+    """E3 for what is new: the archive's folders that no increment has read; returns their batch numbers."""
+    if (labelled is not None) + lang_column + all_english != 1:
+        raise ValueError("say which posts are English: labelled, lang_column or all_english")
+    paths = layout(views)
+    increments = SentimentIncrements(spark, paths["archive"], paths["increments"])
+    return increments.run(lambda lines: sentiment_of_lines(lines, lexicon, labelled, lang_column))
+
+
+def sentiment(spark: SparkSession, views: str) -> DataFrame:
+    """The sentiment view of the increments if there are any, else of the last full batch."""
+    paths = layout(views)
+    increments = SentimentIncrements(spark, paths["archive"], paths["increments"])
+    return increments.read() if increments.exists() else read_sentiment_view(spark, paths["sentiment"])
 
 
 def serve_frames(spark: SparkSession, views: str, hashtag: str | None):
     """The stored, time-stamped rows of a hashtag (of all, if None) and their intervals, lazily."""
     paths = layout(views)
-    summary = stored(read_summary_view(spark, paths["summary"], hashtag), "serve")
-    return summary, lambda: I.positive_intervals(summary, read_sentiment_view(spark, paths["sentiment"]))
+    where = None if hashtag is None else F.col("hashtag") == F.lit(hashtag)
+    summary = stored(summary_view(spark, paths["summary"]).read(where), "serve")
+    return summary, lambda: I.positive_intervals(summary, sentiment(spark, views))
 
 
 def serve(spark: SparkSession, views: str, hashtag: str, out=sys.stdout) -> DataFrame | None:
@@ -129,8 +152,10 @@ def serve(spark: SparkSession, views: str, hashtag: str, out=sys.stdout) -> Data
 
 
 def compact(spark: SparkSession, views: str) -> int | None:
-    """Upkeep: the summary's micro-batches become one clustered table."""
-    return compact_summary(spark, layout(views)["summary"])
+    """Upkeep: the summary's micro-batches, and the batch layer's increments, go into their keyed bases."""
+    paths = layout(views)
+    SentimentIncrements(spark, paths["archive"], paths["increments"]).compact()
+    return summary_view(spark, paths["summary"]).merge()
 
 
 def _pairs(values: list[str] | None) -> dict[str, str]:
@@ -165,6 +190,7 @@ def parser() -> argparse.ArgumentParser:
     records(p)
     p = sub.add_parser("batch")
     p.add_argument("--views", required=True)
+    p.add_argument("--increment", action="store_true")
     english = p.add_mutually_exclusive_group(required=True)
     english.add_argument("--labelled", help="parquet with text, lang for language profiles")
     english.add_argument("--lang-column", action="store_true")
@@ -208,7 +234,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "batch":
         labelled = spark.read.parquet(args.labelled) if args.labelled else None
         lexicon = load_lexicon(spark, *args.lexicon) if args.lexicon else default_lexicon()
-        batch(spark, args.views, lexicon, labelled, args.lang_column, args.all_english)
+        (batch_increment if args.increment else batch)(spark, args.views, lexicon, labelled, args.lang_column, args.all_english)
         delete_scratch(spark)
     elif args.job == "serve":
         serve(spark, args.views, args.hashtag)

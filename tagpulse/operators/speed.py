@@ -6,10 +6,11 @@ static DataFrame (batch check) and a streaming one (``readStream``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.functions.text import extract_hashtag, has_hashtag
+from tagpulse.functions.timeparse import parse_event_time
 from tagpulse.schemas import RAW_POST
 
 
@@ -46,6 +47,21 @@ def rejected_records(records: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.where(F.col("p.id").isNull() | F.col("p.text").isNull()).select("value")
 
 
+def rejected_with_reason(parsed: DataFrame) -> DataFrame:
+    """``key, value, reason`` of parsed records (``key, value, p``) that can't be used.
+
+    A missing value, a value that is no JSON object, and an object without an id or a text are told apart."""
+    reason = (F.when(F.col("value").isNull(), "no value").when(~F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False)), "no object")
+              .when(F.col("p.id").isNull() & F.col("p.text").isNull(), "no id and text").when(F.col("p.id").isNull(), "no id")
+              .when(F.col("p.text").isNull(), "no text"))
+    return parsed.select("key", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def post_day(created: Column) -> Column:
+    """The day of a post's time, in UTC (1970-01-01 when it can't be parsed)."""
+    return F.to_date(F.timestamp_seconds(parse_event_time(created)))
+
+
 def texts(records: DataFrame) -> DataFrame:
     """The text of every record (the same parser and rule as P3)."""
     return parse_records(records).select("text")
@@ -73,8 +89,12 @@ def archive_of_posts(posts: DataFrame) -> DataFrame:
     return to_records(posts.where(has_hashtag("text"))).select("value")
 
 
-def split_records(records: DataFrame) -> DataFrame:
-    """Both outputs of the speed layer from one parse and one match of each record: ``value, _id, hashtag, time``."""
-    parsed = _usable(_parsed(records)).select(
-        "value", F.col("p.id").alias("_id"), extract_hashtag(F.col("p.text")).alias("hashtag"), F.col("p.created").alias("time"))
-    return parsed.where(F.col("hashtag") != "")
+def parsed_records(records: DataFrame) -> DataFrame:
+    """Every record once through parser and match: ``key, value, p, hashtag``; nothing is dropped."""
+    parsed = records.select("key", "value", F.from_json("value", RAW_POST).alias("p"))
+    return parsed.withColumn("hashtag", extract_hashtag(F.col("p.text")))
+
+
+def tagged_records(parsed: DataFrame) -> DataFrame:
+    """Both outputs of the speed layer as columns of parsed records: ``value, _id, hashtag, time``."""
+    return _usable(parsed).where(F.col("hashtag") != "").select("value", F.col("p.id").alias("_id"), "hashtag", F.col("p.created").alias("time"))

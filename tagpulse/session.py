@@ -66,9 +66,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own scratch folder; other applications share ``spark.checkpoint.dir`` but not this."""
+    context = spark.sparkContext
+    if not hasattr(context, "_tagpulse_run"):
+        context._tagpulse_run = f"{context.applicationId}-{uuid.uuid4().hex[:8]}"
+    return f"{shared_dir(spark)}/tagpulse/{context._tagpulse_run}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique path under the shared folder (never reused)."""
-    return f"{shared_dir(spark)}/tagpulse/{label}-{uuid.uuid4().hex}"
+    """A fresh, unique path under this run's scratch folder (never reused)."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -85,9 +93,16 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a folder in whatever store it lies (none: 0)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def delete_scratch(spark: SparkSession) -> bool:
-    """Delete all scratch tables of finished jobs (those whose results still read them must be done)."""
-    return delete_path(spark, f"{shared_dir(spark)}/tagpulse")
+    """Delete this application's scratch tables (results that still read them must be done); others' stay."""
+    return delete_path(spark, run_dir(spark))
 
 
 def ship_package(spark: SparkSession) -> None:

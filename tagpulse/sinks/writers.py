@@ -30,11 +30,33 @@ def write_batch_view(view: DataFrame, path: str, batch_id: int, fmt: str = "parq
     view.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
 
+def write_rejected(rejected: DataFrame, path: str, batch_id: int) -> None:
+    """T3's third output: records that can't be used, with the reason; a replay of the batch overwrites them."""
+    rejected.select("key", "value", "reason").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def write_archive_by_day(lines: DataFrame, path: str, batch_id: int) -> None:
+    """K3 by date: ``value, date`` rows to ``date=D/batch_id=N``.
+
+    Only the partitions that the batch has rows for are replaced, so a replay overwrites the batch's own lines of
+    each day and no other batch's."""
+    (lines.select("value", "date", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").text(path))
+
+
 def write_archive(lines: DataFrame, path: str, batch_id: int) -> None:
     """K3: raw JSON lines, one folder per micro-batch."""
     lines.select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names under ``path`` that begin with ``prefix``, sorted."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(n for n in names if n.startswith(prefix))
+
+
 def _numbered(spark: SparkSession, path: str, prefix: str) -> dict[int, bool]:
     """Folders ``prefix=N`` under ``path``: N -> whether its write was completed."""
     hadoop = spark._jvm.org.apache.hadoop.fs

@@ -1,9 +1,9 @@
 """Readers of the serving views and of the raw archive.
 
 Views are written as one folder per micro-batch (``batch_id=N``) so that a
-replayed batch overwrites itself; readers keep one row per post and hashtag (the
-earliest batch), which also absorbs posts seen twice by the producer (D6):
-copies of a post have the same text and so the same hashtag.
+replayed batch overwrites itself; readers keep one row per post (the
+earliest batch), which also absorbs posts seen twice by the producer (D6).
+``summary_view`` is the keyed form that the jobs use: a later batch replaces a post's row.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tagpulse.operators.speed import parse_records
 from tagpulse.schemas import SENTIMENT, SUMMARY
+from tagpulse.sinks.keyed import KeyedView
 from tagpulse.sinks.writers import batches, latest_version
 
 
@@ -28,11 +29,11 @@ def _batched(spark: SparkSession, path: str, schema: StructType, fmt: str) -> Da
 
 def read_summary_view(spark: SparkSession, path: str, hashtag: str | None = None, fmt: str = "parquet",
                       upto: int | None = None) -> DataFrame:
-    """S3: ``_id, hashtag, time``, one row per post and hashtag.
+    """S3: ``_id, hashtag, time``, one row per post: that of the earliest batch (of one batch, the smallest).
 
-    The newest compacted table and the batches after it (``upto``: no later than that).
-    ``hashtag`` is part of the grouping key, so a filter on it reaches the scans;
-    partial aggregation collapses copies before the shuffle on the key.
+    The newest compacted table and the batches after it (``upto``: no later than that).  A look-up's filter on the
+    hashtag reaches the scan; its few rows are then compared with the post's rows under other
+    hashtags, of which only the key and the batch are read.
     """
     done = latest_version(spark, f"{path}/compacted")
     rows = _batched(spark, path, SUMMARY, fmt)
@@ -41,10 +42,20 @@ def read_summary_view(spark: SparkSession, path: str, hashtag: str | None = None
         rows = rows.where(F.col("batch_id") > done).unionByName(old.withColumn("batch_id", F.lit(done).cast("long")))
     if upto is not None:
         rows = rows.where(F.col("batch_id") <= upto)
-    if hashtag is not None:
-        rows = rows.where(F.col("hashtag") == F.lit(hashtag))
-    first = rows.where(F.col("_id").isNotNull()).groupBy("_id", "hashtag").agg(F.min(F.struct("batch_id", "time")).alias("r"))
-    return first.select("_id", "hashtag", "r.time")
+    rows = rows.where(F.col("_id").isNotNull())
+    first = F.min(F.struct("batch_id", "hashtag", "time")).alias("r")
+    if hashtag is None:
+        return rows.groupBy("_id").agg(first).select("_id", "r.hashtag", "r.time")
+    found = rows.where(F.col("hashtag") == F.lit(hashtag)).groupBy("_id").agg(first)
+    others = rows.where(F.col("hashtag") != F.lit(hashtag)).select("_id", "batch_id", "hashtag").join(found.select("_id"), "_id", "left_semi")
+    others = others.groupBy("_id").agg(F.min(F.struct("batch_id", "hashtag")).alias("o"))
+    earlier = F.struct(F.col("r.batch_id").alias("batch_id"), F.col("r.hashtag").alias("hashtag")) > F.col("o")
+    return found.join(others, "_id", "left").where(~F.coalesce(earlier, F.lit(False))).select("_id", "r.hashtag", "r.time")
+
+
+def summary_view(spark: SparkSession, path: str) -> KeyedView:
+    """S3 as a keyed view: ``summary_view(...).read(F.col("hashtag") == tag)``."""
+    return KeyedView(spark, path, SUMMARY)
 
 
 def read_sentiment_view(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -55,6 +66,11 @@ def read_sentiment_view(spark: SparkSession, path: str, fmt: str = "parquet") ->
     return spark.read.schema(SENTIMENT).format(fmt).load(f"{path}/version={version}")
 
 
+def read_archive_days(spark: SparkSession, path: str) -> DataFrame:
+    """S2 by date: ``value, date, batch_id``; a condition on the date reads only its folders."""
+    return spark.read.schema("value string, date date, batch_id bigint").text(path)
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived JSON lines -> ``id, text, created`` (bad lines dropped).
 

@@ -131,3 +131,13 @@ def test_shared_folder_must_be_named_on_a_cluster():
     session = N(conf=conf, sparkContext=N(getConf=lambda: conf, master="spark://h:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError):
         shared_dir(session)
+
+
+def test_scratch_of_other_runs_stays(spark, tmp_path):
+    from tagpulse.session import delete_path, run_dir, shared_dir
+    assert run_dir(spark).startswith(f"{shared_dir(spark)}/tagpulse/") and run_dir(spark) == run_dir(spark)
+    other = f"{shared_dir(spark)}/tagpulse/another-application/table"
+    spark.range(3).write.mode("overwrite").parquet(other)
+    mine = scratch_path(spark, "mine")
+    assert mine.startswith(run_dir(spark) + "/") and not other.startswith(run_dir(spark))
+    delete_path(spark, other)

@@ -1,12 +1,14 @@
 import json
+import time
 import uuid
 
 from pyspark.sql import functions as F
 
 from tagpulse.operators.speed import summarize, parse_records, to_records
 from tagpulse.session import scratch_path
-from tagpulse.sinks.writers import publish_records
-from tagpulse.streaming.speed_layer import (SpeedLayerRun, record_stream, run_speed_layer_on_posts,
+from tagpulse.sinks.writers import publish_records, write_archive_by_day
+from tagpulse.sources.views import read_archive_days
+from tagpulse.streaming.speed_layer import (Counters, SpeedLayerRun, record_stream, run_speed_layer, run_speed_layer_on_posts,
                                             start_speed_layer, start_tail)
 
 POSTS = [("1", "hello #a world", "Mon Jan 01 000001 UTC 2024"),
@@ -86,3 +88,54 @@ def test_dedupe_loses_no_old_or_untimed_post(spark):
                           dedupe_delay="1 hour").awaitTermination()
     run = SpeedLayerRun(spark, f"{root}/summary", f"{root}/archive")
     assert sorted(r["id"] for r in run.archived_posts().collect()) == ["1", "2", "3", "4"]
+
+
+def test_posts_without_a_key_are_no_replays_of_each_other(spark):
+    """Ten posts whose records have no key, one of them twice, and records without an id."""
+    root = scratch_path(spark, "test-nokey")
+    posts = _posts(spark, [(str(i), f"post {i} #a", "Mon Jan 01 000001 UTC 2024") for i in range(10)])
+    records = to_records(posts).withColumn("key", F.lit(None).cast("string"))
+    bad = spark.createDataFrame([(None, "no json"), (None, '{"text": "no id #a"}')] * 2, "key string, value string")
+    publish_records(records.unionByName(records.where(F.col("value").contains("post 3 "))).unionByName(bad), f"{root}/records")
+    start_speed_layer(record_stream(spark, "parquet", f"{root}/records"), f"{root}/summary", f"{root}/archive", f"{root}/checkpoint",
+                      available_now=True, dedupe_delay="1 hour", rejected_path=f"{root}/rejected").awaitTermination()
+    run = SpeedLayerRun(spark, f"{root}/summary", f"{root}/archive", f"{root}/rejected")
+    assert sorted(r["id"] for r in run.archived_posts().collect()) == sorted(map(str, range(10)))
+    assert run.rejected().count() == 4
+
+
+def test_rejected_records_and_counters_add_up(spark):
+    root = scratch_path(spark, "test-rejected")
+    bad = [("a", "no json"), ("b", '{"id": "5", "created": "x"}'), ("c", '{"text": "t", "created": "x"}'), ("d", None), ("e", "{}"), ("f", '{"id": "7", "text": "cut')]
+    records = to_records(_posts(spark)).unionByName(spark.createDataFrame(bad, "key string, value string"))
+    counters = Counters()
+    spark.streams.addListener(counters)
+    try:
+        run = run_speed_layer(spark, records.repartition(3), root, files_per_trigger=1, with_rejected=True)
+        for _ in range(100):  # events come after the batch
+            if counters.totals.get("records") == 10:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    got = {r["key"]: r["reason"] for r in run.rejected().collect()}
+    assert {k: got[k] for k in "abcde"} == {"a": "no object", "b": "no text", "c": "no id", "d": "no value", "e": "no id and text"} and "f" in got
+    assert counters.totals == {"records": 10, "rejected": 6, "tagged": 2}
+    # The stream starts again over the same checkpoint: nothing is written twice.
+    start_speed_layer(record_stream(spark, "parquet", f"{root}/records"), run.summary_path, run.archive_path, f"{root}/checkpoint", available_now=True,
+                      rejected_path=run.rejected_path).awaitTermination()
+    assert run.rejected().count() == 6
+
+
+def test_archive_by_day_is_pruned_and_replays_replace_their_own_lines(spark):
+    root = scratch_path(spark, "test-days")
+    lines = lambda *rows: spark.createDataFrame(rows, "value string, d string").select("value", F.to_date("d").alias("date"))
+    write_archive_by_day(lines(("a", "2024-01-01"), ("b", "2024-01-02")), root, 0)
+    write_archive_by_day(lines(("c", "2024-01-02")), root, 1)
+    write_archive_by_day(lines(("a", "2024-01-01"), ("b", "2024-01-02")), root, 0)  # the batch runs again
+    archive = read_archive_days(spark, root)
+    assert sorted((r["value"], str(r["date"])) for r in archive.collect()) == [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-02")]
+    day = archive.where(F.col("date") == F.lit("2024-01-02").cast("date"))
+    assert sorted(r["value"] for r in day.collect()) == ["b", "c"]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
