@@ -14,12 +14,19 @@ from pyspark.sql import functions as F
 from tagpulse.functions.lexicon import default_lexicon
 from tagpulse.functions.timeparse import parse_event_time, register_sql_function
 from tagpulse.operators import intervals as I
+from tagpulse.jobs import sentiment_of_lines
 from tagpulse.operators import language as L
+from tagpulse.operators import runs as R
 from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
-from tagpulse.session import prepare, stored
+from tagpulse.schemas import SUMMARY
+from tagpulse.session import prepare, scratch_path, stored
+from tagpulse.sinks.increments import SentimentIncrements
+from tagpulse.sinks.keyed import KeyedView
+from tagpulse.sinks.writers import write_archive
 from tagpulse.sources import posts as P
 from tagpulse.sources.tables import read_table, spread
+from tagpulse.sources.views import read_archive_days
 
 # The hashtag the single-tag serving queries ask about.
 SERVING_HASHTAG = "#click"
@@ -192,6 +199,91 @@ def q_interval_report(spark, sf_dir):
     return I.interval_report(summary, stored(I.positive_intervals(summary, _labels(spark, sf_dir)), "intervals"))
 
 
+def q_intervals_sql(spark, sf_dir):
+    spark = prepare(spark)
+    I.register_interval_function(spark, _summary(spark, sf_dir), _labels(spark, sf_dir))
+    return spark.sql(f"SELECT hashtag, start_ts, end_ts, seconds, tweets FROM {I.INTERVAL_FUNCTION}('{SERVING_HASHTAG}')")
+
+
+def q_intervals_incremental(spark, sf_dir):
+    """The first half of the time, then the second, then what was held back of both; each update touches its own days."""
+    joined = I.join_sentiment(I.with_timestamp(_summary(spark, sf_dir)), _labels(spark, sf_dir))
+    posts = stored(R.labelled_posts(joined), "labelled-posts")
+    half = posts.agg((F.min("timestamp") + F.max("timestamp")) / 2).first()[0] or 0
+    late = F.pmod(F.col("_id").cast("long"), F.lit(LATE_POSTS)) == 0
+    view = R.RunView(spark, scratch_path(spark, "runs"))
+    for part in (~late & (F.col("timestamp") < half), ~late & (F.col("timestamp") >= half), late):
+        view.update(posts.where(part))
+    return view.intervals()
+
+
+# ---- keyed and incremental views -----------------------------------------------------
+
+#: Which posts (by their number) arrive late, are replayed, are edited, restored and edited again in the queries of the keyed views.
+LATE_POSTS, REPLAYED, EDITED, RESTORED, EDITED_AGAIN = 50, 5, 7, 11, 13
+EDIT, LATE_EDIT = "#edited", "#late"
+
+
+def q_summary_upsert(spark, sf_dir):
+    """Two batches (one with replays), merged; an edit, merged; replays of merged batches; restored and edited posts, not merged yet."""
+    spark = prepare(spark)
+    posts = stored(_summary(spark, sf_dir), "summary")
+    number = F.col("_id").cast("long")
+    every = lambda n: number % n == 0
+    tagged = lambda rows, tag: rows.withColumn("hashtag", F.lit(tag))
+    first = posts.where(number % 3 != 2)
+    second = posts.where((number % 3 == 2) | every(REPLAYED))
+    edits = tagged(posts.where(every(EDITED)), EDIT)
+    third = posts.where(every(RESTORED) & ~every(EDITED_AGAIN)).unionByName(tagged(posts.where(every(EDITED_AGAIN)), LATE_EDIT))
+    view = KeyedView(spark, scratch_path(spark, "upsert"), SUMMARY)
+    view.upsert(first, 0)
+    view.upsert(second, 1)
+    view.merge()
+    view.upsert(edits, 2)
+    view.upsert(second, 1)
+    view.merge()
+    view.upsert(third, 3)
+    view.upsert(edits, 2)
+    return view.read()
+
+
+def q_batch_incremental(spark, sf_dir):
+    """Two runs of the batch layer: over the first two archive folders, then over a third that holds replays too."""
+    spark = prepare(spark)
+    root = scratch_path(spark, "increments")
+    number = F.col("id").cast("long")
+    lines = _archive_posts(spark, sf_dir).select("id", F.to_json(F.struct("id", "text", "created", "lang")).alias("value"))
+    increments = SentimentIncrements(spark, f"{root}/archive", f"{root}/sentiment")
+    parts = (number % 2 == 0, number % 4 == 1, (number % 4 == 3) | (number % (2 * REPLAYED) == 0))
+    for runs in ((0, 1), (2,)):
+        for batch in runs:
+            write_archive(lines.where(parts[batch]), increments.archive, batch)
+        increments.run(lambda new: sentiment_of_lines(new, default_lexicon(), lang_column=True))
+    return increments.read()
+
+
+def q_stream_rejected(spark, sf_dir):
+    """The records that the stream can't use, of a stream in which every fifth is damaged in one of four ways."""
+    from tagpulse.streaming.speed_layer import run_speed_layer
+    spark = prepare(spark)
+    kind = F.col("id").cast("long") % 20
+    value = (F.when(kind == 3, F.concat(F.lit("no json "), "id")).when(kind == 7, F.to_json(F.struct("id", "created")))
+             .when(kind == 11, F.to_json(F.struct("text", "created"))).when(kind == 13, F.lit(None).cast("string"))
+             .otherwise(F.to_json(F.struct("id", "text", "created"))))
+    records = _posts(spark, sf_dir).select(F.col("id").alias("key"), value.alias("value"))
+    return run_speed_layer(spark, records, with_rejected=True).rejected()
+
+
+def q_archive_day(spark, sf_dir):
+    """The archived lines of the first day, from an archive in folders by date."""
+    from tagpulse.streaming.speed_layer import run_speed_layer
+    spark = prepare(spark)
+    archive = run_speed_layer(spark, SP.to_records(_posts(spark, sf_dir)), by_day=True).archive_path
+    days = read_archive_days(spark, archive)
+    day = days.agg(F.min("date")).first()[0]
+    return days.where(F.col("date") == F.lit(day)).select("value", F.col("date").cast("string").alias("date"))
+
+
 # ---- language identification ---------------------------------------------------------
 
 def _documents(spark, sf_dir):
@@ -251,6 +343,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positive_intervals": q_positive_intervals,
     "positive_intervals_all": q_positive_intervals_all,
     "interval_report": q_interval_report,
+    "intervals_sql": q_intervals_sql,
+    "intervals_incremental": q_intervals_incremental,
+    "summary_upsert": q_summary_upsert,
+    "batch_incremental": q_batch_incremental,
+    "stream_rejected": q_stream_rejected,
+    "archive_day": q_archive_day,
     "language_profiles": q_language_profiles,
     "detect_language": q_detect_language,
     "sentiment_label_detected": q_sentiment_label_detected,

@@ -11,7 +11,7 @@ from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, default_lexicon
 from tagpulse.functions.text import matchable_words
 from tagpulse.operators.intervals import NO_INTERVALS_MESSAGE
 from tagpulse.operators.language import NON_LETTER_RUN
-from tagpulse.plans.catalog import PREVIEW_ROWS, SERVING_HASHTAG
+from tagpulse.plans.catalog import EDIT, EDITED, EDITED_AGAIN, LATE_EDIT, PREVIEW_ROWS, REPLAYED, RESTORED, SERVING_HASHTAG
 from tagpulse.sources.posts import POLARITY_WORDS
 
 _LEX = default_lexicon()
@@ -145,6 +145,21 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
           FROM (SELECT g.id, p.lang, CAST(sum(p.n) AS DOUBLE) / sqrt(max(p.norm2)) AS score
                 FROM post_grams g JOIN profile_side p ON g.gram = p.gram GROUP BY g.id, p.lang))
         WHERE rn = 1"""),
+    # What each batch of the keyed view says, in the order of batches; the last word counts.
+    "upserts": (("summary",), f"""
+        SELECT 0 AS batch, _id, hashtag, time FROM summary WHERE CAST(_id AS BIGINT) % 3 <> 2
+        UNION ALL SELECT 1, _id, hashtag, time FROM summary WHERE CAST(_id AS BIGINT) % 3 = 2 OR CAST(_id AS BIGINT) % {REPLAYED} = 0
+        UNION ALL SELECT 2, _id, {_quote(EDIT)}, time FROM summary WHERE CAST(_id AS BIGINT) % {EDITED} = 0
+        UNION ALL SELECT 3, _id, hashtag, time FROM summary WHERE CAST(_id AS BIGINT) % {RESTORED} = 0 AND CAST(_id AS BIGINT) % {EDITED_AGAIN} <> 0
+        UNION ALL SELECT 3, _id, {_quote(LATE_EDIT)}, time FROM summary WHERE CAST(_id AS BIGINT) % {EDITED_AGAIN} = 0"""),
+    "damaged": (("posts",), """
+        SELECT id AS key, CASE CAST(id AS BIGINT) % 20 WHEN 3 THEN 'no json ' || id WHEN 7 THEN CAST(json_object('id', id, 'created', created) AS VARCHAR)
+                               WHEN 11 THEN CAST(json_object('text', text, 'created', created) AS VARCHAR) END AS value,
+               CASE CAST(id AS BIGINT) % 20 WHEN 3 THEN 'no object' WHEN 7 THEN 'no text' WHEN 11 THEN 'no id' ELSE 'no value' END AS reason
+        FROM posts WHERE CAST(id AS BIGINT) % 20 IN (3, 7, 11, 13)"""),
+    "dated": (("archive",), """
+        SELECT json_object('id', id, 'text', text, 'created', created) AS value,
+               CAST(CAST(try_strptime(created, '%a %b %d %H%M%S %Z %Y') AS DATE) AS VARCHAR) AS date FROM archive"""),
     # Batch layer fed by detected English instead of the lang column.
     "english_d": (("archive", "detected"), """
         SELECT id, text FROM archive
@@ -234,6 +249,14 @@ ORACLE_SQL: dict[str, str] = {
     "positive_intervals_all": _with("SELECT hashtag, start_ts, end_ts, seconds, tweets FROM intervals",
                                     "intervals"),
     "interval_report": _with(_REPORT, "summary", "intervals"),
+    "intervals_sql": _with(f"""
+        SELECT hashtag, start_ts, end_ts, seconds, tweets FROM intervals WHERE hashtag = {_TAG}""", "intervals"),
+    "intervals_incremental": _with("SELECT hashtag, start_ts, end_ts, seconds, tweets FROM intervals", "intervals"),
+    "summary_upsert": _with("""
+        SELECT _id, arg_max(hashtag, batch) AS hashtag, arg_max(time, batch) AS time FROM upserts GROUP BY _id""", "upserts"),
+    "batch_incremental": _with("SELECT _id, text, sentiment FROM sentiment", "sentiment"),
+    "stream_rejected": _with("SELECT key, value, reason FROM damaged", "damaged"),
+    "archive_day": _with("SELECT value, date FROM dated WHERE date = (SELECT min(date) FROM dated)", "dated"),
     "language_profiles": _with("SELECT lang, gram, n FROM profiles", "profiles"),
     "detect_language": _with("SELECT id, lang FROM detected", "detected"),
     "sentiment_label_detected": _with("SELECT _id, text, sentiment FROM sentiment_d", "sentiment_d"),
