@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from importlib import resources
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagpulse.schemas import LEXICON
@@ -87,3 +87,41 @@ def load_lexicon(spark: SparkSession, stop_path: str, positive_path: str, negati
         words[row["category"]].append(row["word"])
     return Lexicon(stop=tuple(sorted(words[STOP])), positive=frozenset(words[POSITIVE]),
                    negative=frozenset(words[NEGATIVE]))
+
+
+# --- a bit set of a lexicon ---------------------------------------------------------
+
+#: Bits for each word, hash functions, and the largest bit set (2 MB) that is folded into a plan; beyond it more words pass by chance.
+BITS_PER_WORD, BIT_HASHES, MOST_BITS = 32, 3, 1 << 24
+
+
+@dataclass(frozen=True)
+class WordBits:
+    """A fixed-size bit set: a word of the lexicon always passes, another seldom (under 1 in 1,000 below ``MOST_BITS``)."""
+
+    bits: int
+    words: str
+
+    def may_hold(self, word: Column) -> Column:
+        table = F.from_json(F.lit(self.words), "array<bigint>")
+        found = None
+        for seed in range(BIT_HASHES):
+            slot = F.pmod(F.xxhash64(word, F.lit(seed)), F.lit(self.bits))
+            bit = F.get(table, F.shiftright(slot, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))) != 0
+            found = bit if found is None else found & bit
+        return found
+
+
+def word_bits(words: DataFrame) -> WordBits:
+    """The bit set of a column ``word``.  Its size follows the counted words up to ``MOST_BITS``; what is collected has that size."""
+    words = words.select("word").distinct()
+    n = words.count()
+    bits = 64
+    while bits < min(MOST_BITS, n * BITS_PER_WORD):
+        bits *= 2
+    slots = words.select(F.explode(F.array(*[F.pmod(F.xxhash64("word", F.lit(s)), F.lit(bits)) for s in range(BIT_HASHES)])).alias("slot"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))
+    table = [0] * (bits // 64)
+    for row in slots.groupBy(F.shiftright("slot", 6).alias("i")).agg(F.bit_or(one).alias("w")).collect():
+        table[row["i"]] = row["w"]
+    return WordBits(bits, "[" + ",".join(map(str, table)) + "]")

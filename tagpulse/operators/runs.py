@@ -88,7 +88,7 @@ def _numbered_time(seconds: int) -> Column:
     return F.floor(at / seconds).cast("long") + (at > 0).cast("long")
 
 
-def _placed(rows: DataFrame) -> DataFrame:
+def placed(rows: DataFrame) -> DataFrame:
     """Adds each post's slice and span.  A span's ``part`` is in hexadecimal, which sorts like the ids."""
     part = F.when(F.col("timestamp") == 0, F.hex(F.encode(F.substring("_id", 1, UNTIMED_PREFIX), "UTF-8"))).otherwise(F.lit("t"))
     return rows.withColumns({"slice": _numbered_time(SLICE_SECONDS), "day": _numbered_time(DAY_SECONDS), "part": part})
@@ -127,7 +127,7 @@ class RunView:
         version, state = self._state()
         made = version + 1
         keys = ["hashtag", "_id", *SPAN]
-        new = stored(_placed(posts.select("hashtag", "timestamp", "_id", "np").where("_id is not null and hashtag is not null")), "new-posts")
+        new = stored(placed(posts.select("hashtag", "timestamp", "_id", "np").where("_id is not null and hashtag is not null")), "new-posts")
         touched = sorted(f"day={r['day']}/part={r['part']}" for r in new.select(*SPAN).distinct().collect())
         if not touched:
             return []
@@ -136,12 +136,12 @@ class RunView:
         once = new.groupBy(*keys).agg(F.min(F.struct(*values)).alias("r")).select(*keys, *[f"r.{c}" for c in values])
         kept = old.join(new.select(*keys).distinct(), keys, "left_anti")
         rows = stored(kept.select(*once.columns).unionByName(once), "span-posts")
-        # Dealt in order, in pieces of like size, and written with the piece: a retried task can't deal them anew.
+        # Dealt in order, span by span, in pieces of like size, and written with the piece: a retried task can't deal them anew.
         pieces = self.pieces or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = rows.repartitionByRange(pieces, "hashtag", "timestamp", "_id").withColumn("piece", F.spark_partition_id())
+        dealt = rows.repartitionByRange(pieces, *SPAN, "hashtag", "timestamp", "_id").withColumn("piece", F.spark_partition_id())
         written = {"posts": self._write("posts", dealt, made)}
         closed, slices = fold(posts_as_runs(self._read("posts", written["posts"])), [*SPAN, "slice", "piece"], ["timestamp", "_id"])
-        written |= {"slices": self._write("slices", slices, made), "closed": self._write("closed", closed, made)}
+        written |= {"slices": self._write("slices", slices.repartition(*SPAN), made), "closed": self._write("closed", closed.repartition(*SPAN), made)}
         manifest.commit(self.spark, self.path, made, {
             t: {**{s: v for s, v in state[t].items() if s not in set(touched)}, **written[t]} for t in TABLES})
         self._tidy()
@@ -161,10 +161,15 @@ class RunView:
         inside = self._read("closed", state["closed"]).select("hashtag", "start_ts", "end_ts", "tweets")
         in_span, spans = fold(self._read("slices", state["slices"]), SPAN, ["slice", "piece"])
         between, whole = fold(spans, [], SPAN)
-        # Nothing comes before the first run of all: its lead is closed by the first non-positive post.
-        leading = whole.where("end is not null and lead_n > 0").select(
-            "hashtag", F.col("lead_start").alias("start_ts"), F.col("end").alias("end_ts"), F.col("lead_n").alias("tweets"))
-        out = inside
-        for found in (in_span, between, leading):
-            out = out.unionByName(found.select(*inside.columns))
-        return out.select("hashtag", "start_ts", "end_ts", (F.col("end_ts") - F.col("start_ts")).alias("seconds"), "tweets")
+        return as_intervals([inside, in_span, between], whole)
+
+
+def as_intervals(closed: list[DataFrame], whole: DataFrame) -> DataFrame:
+    """All intervals of the last fold and those before it; ``whole`` are the hashtags' own summaries.
+
+    Nothing comes before a hashtag's first run: its lead is closed by the first non-positive post."""
+    out = whole.where("end is not null and lead_n > 0").select(
+        "hashtag", F.col("lead_start").alias("start_ts"), F.col("end").alias("end_ts"), F.col("lead_n").alias("tweets"))
+    for found in closed:
+        out = out.unionByName(found.select(*out.columns))
+    return out.select("hashtag", "start_ts", "end_ts", (F.col("end_ts") - F.col("start_ts")).alias("seconds"), "tweets")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.functions import text as T
-from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon, LexiconTable
+from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon, LexiconTable, word_bits
 from tagpulse.session import stored
 
 # --- fixed values -------------------------------------------------------------
@@ -72,8 +72,12 @@ def keyed(posts: DataFrame) -> DataFrame:
 
 def _matches(posts: DataFrame, words: DataFrame) -> DataFrame:
     """``id, key, word, n`` + the columns of ``words``: the tokens of each distinct post that are
-    words of a lexicon, counted before they are joined.  No text is carried along."""
-    tokens = posts.select("id", "key", F.explode(T.tokens("text")).alias("word"))
+    words of a lexicon, counted before they are joined.  No text is carried along.
+
+    A bit set of the lexicon is asked in the row, before tokens are exploded: what is counted and joined are the hits
+    and a few others, whichever join Spark takes."""
+    bits = word_bits(words)
+    tokens = posts.select("id", "key", F.explode(F.filter(T.tokens("text"), bits.may_hold)).alias("word"))
     return tokens.groupBy("id", "key", "word").agg(F.count(F.lit(1)).alias("n")).join(words, "word")
 
 

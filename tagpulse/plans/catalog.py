@@ -21,6 +21,7 @@ from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
 from tagpulse.schemas import SUMMARY
 from tagpulse.session import prepare, scratch_path, stored
+from tagpulse.sinks import bucketed as B
 from tagpulse.sinks.increments import SentimentIncrements
 from tagpulse.sinks.keyed import KeyedView
 from tagpulse.sinks.writers import write_archive
@@ -217,6 +218,34 @@ def q_intervals_incremental(spark, sf_dir):
     return view.intervals()
 
 
+def q_intervals_bucketed(spark, sf_dir):
+    """Summary and labels in buckets by id, their join in buckets by hashtag and slice, and the intervals of that."""
+    spark = prepare(spark)
+    root = scratch_path(spark, "bucketed")
+    summary = B.by_id(I.with_timestamp(_summary(spark, sf_dir)), f"{root}/summary")
+    labels = B.by_id(_labels(spark, sf_dir), f"{root}/labels")
+    return B.intervals(B.by_slice(R.labelled_posts(I.join_sentiment(summary, labels)), f"{root}/labelled"))
+
+
+def q_stream_sentiment_join(spark, sf_dir):
+    """Posts and labels as two streams of files, joined as they arrive."""
+    from tagpulse.streaming import sentiment_join as J
+    spark = prepare(spark)
+    root = scratch_path(spark, "stream-join")
+    arrived = F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_interval(secs=F.col("_id").cast("long") % 3600)
+    for name, rows in (("posts", _summary(spark, sf_dir)), ("labels", _labels(spark, sf_dir))):
+        rows.withColumn("arrived", arrived).write.parquet(f"{root}/{name}")
+    J.start_join(J.file_stream(spark, f"{root}/posts", J.POSTS), J.file_stream(spark, f"{root}/labels", J.LABELS),
+                 f"{root}/joined", f"{root}/checkpoint", "1 hour", available_now=True).awaitTermination()
+    return spark.read.schema("_id string, hashtag string, timestamp bigint, sentiment string").parquet(f"{root}/joined")
+
+
+def q_lexicon_bitset(spark, sf_dir):
+    """Scores by a lexicon that stays a table, without a broadcast: what is shuffled passed the lexicon's bit set."""
+    lexicon_df = stored(default_lexicon().to_frame(prepare(spark)), "lexicon")
+    return S.score_with_lexicon_frame(_stemmed(spark, sf_dir), lexicon_df.hint("merge"))
+
+
 # ---- keyed and incremental views -----------------------------------------------------
 
 #: Which posts (by their number) arrive late, are replayed, are edited, restored and edited again in the queries of the keyed views.
@@ -345,6 +374,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_report": q_interval_report,
     "intervals_sql": q_intervals_sql,
     "intervals_incremental": q_intervals_incremental,
+    "intervals_bucketed": q_intervals_bucketed,
+    "stream_sentiment_join": q_stream_sentiment_join,
+    "lexicon_bitset": q_lexicon_bitset,
     "summary_upsert": q_summary_upsert,
     "batch_incremental": q_batch_incremental,
     "stream_rejected": q_stream_rejected,

@@ -252,6 +252,10 @@ ORACLE_SQL: dict[str, str] = {
     "intervals_sql": _with(f"""
         SELECT hashtag, start_ts, end_ts, seconds, tweets FROM intervals WHERE hashtag = {_TAG}""", "intervals"),
     "intervals_incremental": _with("SELECT hashtag, start_ts, end_ts, seconds, tweets FROM intervals", "intervals"),
+    "intervals_bucketed": _with("SELECT hashtag, start_ts, end_ts, seconds, tweets FROM intervals", "intervals"),
+    "stream_sentiment_join": _with("SELECT _id, hashtag, timestamp, sentiment FROM joined", "joined"),
+    "lexicon_bitset": _with("""
+        SELECT id, text, n_tokens, pos_hits, neg_hits, pos_score, neg_score FROM scored""", "scored"),
     "summary_upsert": _with("""
         SELECT _id, arg_max(hashtag, batch) AS hashtag, arg_max(time, batch) AS time FROM upserts GROUP BY _id""", "upserts"),
     "batch_incremental": _with("SELECT _id, text, sentiment FROM sentiment", "sentiment"),
