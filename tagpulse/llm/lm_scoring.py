@@ -39,8 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.llm.common import materialize
-from tagpulse.llm.tokens import LOWER, gathered, pack, pack_sorted, run_hashes, runs, text_bytes, unpack, unpack_sorted
-from tagpulse.llm.words import IS_SPACE, mix
+from tagpulse.llm.tokens import LOWER, gathered, pack, pack_sorted, runs, text_bytes, unpack, unpack_sorted
+from tagpulse.llm.words import IS_SPACE, mix, run_hashes
 from tagpulse.session import delete_path, scratch_path, ship_package
 
 #: Bytes of text in a chunk, and for each bucket of grams.

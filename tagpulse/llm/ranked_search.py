@@ -35,8 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagpulse.llm.common import materialize
-from tagpulse.llm.tokens import LOWER, gathered, run_hashes, runs, text_bytes
-from tagpulse.llm.words import NOT_ALNUM, signed
+from tagpulse.llm.tokens import LOWER, gathered, runs, text_bytes
+from tagpulse.llm.words import NOT_ALNUM, run_hashes, signed
 from tagpulse.session import ship_package
 
 #: (item, term) rows of a block of items.

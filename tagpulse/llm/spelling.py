@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.llm.common import discard, materialize
-from tagpulse.llm.tokens import LONG, LOWER, gathered, run_hashes, runs, text_bytes
+from tagpulse.llm.tokens import LOWER, gathered, runs, text_bytes
+from tagpulse.llm.words import LONG, run_hashes
 from tagpulse.session import ship_package
 
 CHUNK = 4 << 20

@@ -1,29 +1,47 @@
-"""Runs of bytes in Arrow text columns and 64-bit hashes of them, vectorised in numpy.
+"""Runs of bytes in Arrow text columns, packed integers, and batches of a bounded size.
 
-A run is hashed eight bytes at a time through a bijective finaliser, so runs of at most eight bytes and the same
-length never share a hash, and longer ones have no structure that a text could be built on.  Runs beyond
-``LONG`` bytes go through xxhash one by one.  Batches are gathered to about ``size`` bytes of text,
-whatever the session's batch size is; one longer text is a block of its own.
+Batches are gathered to about ``size`` bytes of text, whatever the session's batch size is; one longer text is
+a batch of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark.sql import SparkSession
 
-from tagpulse.llm.words import mix
-
-LONG = 64
 _U = np.uint64
-_LENGTH = _U(0x9E3779B97F4A7C15)
-_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs that run inside; afterwards it is as before."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def batch_bytes(spark: SparkSession, size: int):  # noqa: ANN201
+    """Arrow batches of at most ``size`` bytes for the jobs that run inside."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def batch_rows(spark: SparkSession, rows: int):  # noqa: ANN201
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def gathered(batches: Iterator[pa.RecordBatch], size: int, text: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``size`` bytes of column ``text``."""
     held, held_bytes = [], 0
@@ -77,24 +95,6 @@ def runs(inside: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, rows)
 
 
-def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ``data[start:end]``."""
-    size = ends - starts
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
-    out = mix(mix(size.astype(_U) * _LENGTH) ^ (eight[starts] & _MASK[np.minimum(size, 8)]))
-    live = np.flatnonzero(size > 8)
-    done = 8
-    while len(live) and done < LONG:
-        at, left = starts[live] + done, size[live] - done
-        out[live] = mix(out[live] ^ (eight[at] & _MASK[np.minimum(left, 8)]))
-        live = live[left > 8]
-        done += 8
-    for i in live.tolist():
-        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
-    return out
-
-
 def pack(values: np.ndarray) -> bytes:
     """Integers as the narrowest unsigned bytes that hold the largest, byte planes together, compressed."""
     top = int(values.max()) if len(values) else 0
@@ -119,3 +119,9 @@ def pack_sorted(values: np.ndarray) -> bytes:
 
 def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob), dtype=_U)
+
+
+def bucket_cuts(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each of ``buckets`` equal ranges of the 64-bit numbers begins among ascending ``values`` (the end included)."""
+    bounds = np.array([-(-(i << 64) // buckets) for i in range(1, buckets)], dtype=object).astype(_U)
+    return np.concatenate([[0], np.searchsorted(values, bounds), [len(values)]]).astype(np.int64)

@@ -1,9 +1,9 @@
 """Words and rolling word hashes of Arrow text columns, vectorised in numpy.
 
 A word is a maximal run of bytes other than ``\\x20`` and ``\\x09-\\x0D`` (UTF-8
-sequences never hold those bytes).  Hashes are 64-bit polynomials over a fixed
-table of random byte values, so the same word has the same hash in every
-batch, task and run.  Texts are taken in chunks of about ``CHUNK`` bytes; one
+sequences never hold those bytes).  Words are hashed by their bytes through a finaliser, runs of words by
+polynomials modulo a prime (modulo a power of two, some repetitive sequences would share a hash), so
+the same word has the same hash in every batch, task and run.  Texts are taken in chunks of about ``CHUNK`` bytes; one
 longer text is a chunk of its own, so memory follows the longest text.
 """
 
@@ -15,10 +15,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK = 1 << 18
 _U = np.uint64
-_BYTE_BASE = _U(0x9E3779B97F4A7C15)
+CHAINED = 6
 _WORD_BASE = _U(0xD1342543DE82EF95)
 
 IS_SPACE = np.zeros(256, bool)
@@ -37,40 +38,77 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=_U) * _BYTE_BASE)
+#: Runs of more bytes go through xxhash one by one.
+LONG = 64
+_LENGTH = _U(0x9E3779B97F4A7C15)
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ``data[start:end]``, eight bytes at a time through a bijective finaliser.
+
+    Runs of at most eight bytes and the same length never share a hash, and longer ones have no structure to build on."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    out = mix(mix(size.astype(_U) * _LENGTH) ^ (eight[starts] & _MASK[np.minimum(size, 8)]))
+    live = np.flatnonzero(size > 8)
+    done = 8
+    while len(live) and done < LONG:
+        at, left = starts[live] + done, size[live] - done
+        out[live] = mix(out[live] ^ (eight[at] & _MASK[np.minimum(left, 8)]))
+        live = live[left > 8]
+        done += 8
+    for i in live.tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
+    return out
+
+
+# --- runs of words: polynomials modulo the prime 2**61 - 1 -------------------------
+
+_P = _U((1 << 61) - 1)
+_BASE = int(_WORD_BASE) % int(_P)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
 
 
-def _inverse(base: np.uint64) -> np.uint64:
-    return _U(pow(int(base), -1, 1 << 64))
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo the prime, of reduced factors, by halves of 32 bits."""
+    low = _U(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> _U(32), a & low, b >> _U(32), b & low
+    middle, last = a1 * b0 + a0 * b1, a0 * b0
+    return _reduced(a1 * b1 * _U(8) + (middle >> _U(29)) + ((middle & _U((1 << 29) - 1)) << _U(32)) + (last >> _U(61)) + (last & _P))
 
 
 class _Powers:
-    """Powers of a base and of its inverse modulo 2**64, grown on demand."""
+    """Powers of a base modulo the prime, grown on demand."""
 
-    def __init__(self, base: np.uint64) -> None:
-        self.base, self.up, self.down = base, np.ones(1, _U), np.ones(1, _U)
+    def __init__(self, base: int) -> None:
+        self.base, self.table = base, np.ones(1, _U)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) <= n:
-            size = max(n + 1, CHUNK + 1)
-            tables = []
-            for b in (self.base, _inverse(self.base)):
-                table = np.full(size, b, _U)
-                table[0] = 1
-                tables.append(np.multiply.accumulate(table))
-            self.up, self.down = tables
-        return self.up, self.down
+    def upto(self, n: int) -> np.ndarray:
+        while len(self.table) <= n:
+            step = _U(pow(self.base, len(self.table), int(_P)))
+            self.table = np.concatenate([self.table, _product(self.table, np.full(len(self.table), step))])
+        return self.table
 
 
-_BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+_UP, _DOWN = _Powers(_BASE), _Powers(pow(_BASE, -1, int(_P)))
 
 
-def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: _Powers) -> np.ndarray:
+def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Position-independent polynomial hash of each ``values[start:end]``."""
-    up, down = powers.upto(len(values))
-    sums = np.zeros(len(values) + 1, _U)
-    np.cumsum(values * up[:len(values)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * down[starts]
+    terms = _product(_reduced(values), _UP.upto(len(values))[:len(values)])
+    # Sums of halves stay below 2**64 for any text; the prime takes their higher half back.
+    sums = np.zeros((2, len(values) + 1), _U)
+    np.cumsum(terms >> _U(31), out=sums[0, 1:])
+    np.cumsum(terms & _U((1 << 31) - 1), out=sums[1, 1:])
+    high = _reduced(sums[0])
+    upto = _reduced((high >> _U(30)) + ((high & _U((1 << 30) - 1)) << _U(31)) + _reduced(sums[1]))
+    return _product(_reduced(upto[ends] + (_P - upto[starts])), _DOWN.upto(len(values))[starts])
 
 
 @dataclass
@@ -130,17 +168,16 @@ def split_words(chunk: Chunk, lower: bool = False, separators: np.ndarray = IS_S
     after[:-1] = inside
     after[rows] = False
     ends = np.flatnonzero(inside & ~after[1:]) + 1
-    values = _BYTE_VALUE[_LOWER[data] if lower else data]
-    return Words(starts, ends, np.searchsorted(starts, rows), mix(_ranges(values, starts, ends, _BYTES)))
+    return Words(starts, ends, np.searchsorted(starts, rows), run_hashes(_LOWER[data] if lower else data, starts, ends))
 
 
 def prefix_hashes(chunk: Chunk, words: Words, length: int, lower: bool = False) -> np.ndarray:
     """Hash of the first ``length`` bytes of each word; a word that is no longer keeps its own."""
-    values = _BYTE_VALUE[_LOWER[chunk.data] if lower else chunk.data]
     cut = words.starts + length
     longer = cut < words.ends
     out = words.hashes.copy()
-    out[longer] = mix(_ranges(values, words.starts[longer], cut[longer], _BYTES) + _U(length * int(_WORD_BASE) % (1 << 64)))
+    # A stem isn't the word of the same letters.
+    out[longer] = mix(run_hashes(_LOWER[chunk.data] if lower else chunk.data, words.starts[longer], cut[longer]) ^ _LENGTH)
     return out
 
 
@@ -155,20 +192,25 @@ def split_pieces(chunk: Chunk) -> Words:
     head[rows[:-1][np.diff(rows) > 0]] = True
     starts = np.flatnonzero(head)
     ends = np.append(starts[1:], len(data)) if len(starts) else starts
-    return Words(starts, ends, np.searchsorted(starts, rows), mix(_ranges(_BYTE_VALUE[data], starts, ends, _BYTES)))
+    return Words(starts, ends, np.searchsorted(starts, rows), run_hashes(data, starts, ends))
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each ``k`` consecutive words; entry ``i`` covers words ``i:i + k``."""
+    """Hash of each ``k`` consecutive words; entry ``i`` covers words ``i:i + k``.  A few words are chained one by one."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.empty(0, _U)
+    if k <= CHAINED:
+        out = mix(hashes[:n] ^ _U(k * int(_LENGTH) % (1 << 64)))
+        for i in range(1, k):
+            out = mix(out ^ hashes[i:n + i])
+        return out
     return span_hashes(hashes, np.arange(n), np.arange(k, n + k))
 
 
 def span_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each run of words ``starts:ends`` (length included)."""
-    return mix(_ranges(hashes, starts, ends, _WORDS) + (ends - starts).astype(_U) * _BYTE_BASE)
+    return mix(_ranges(hashes, starts, ends) + (ends - starts).astype(_U) * _LENGTH)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

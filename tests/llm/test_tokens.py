@@ -4,14 +4,14 @@ import numpy as np
 import pyarrow as pa
 
 from tagpulse.llm import tokens as T
-from tagpulse.llm.words import IS_SPACE
+from tagpulse.llm.words import IS_SPACE, run_hashes
 from tests.llm.helpers import ODD_TEXTS, words
 
 
 def hashed(texts):
     data, rows = T.text_bytes(pa.array(texts, pa.string()))
     starts, ends, first = T.runs(~IS_SPACE[data], rows)
-    return T.run_hashes(data, starts, ends), first
+    return run_hashes(data, starts, ends), first
 
 
 def thue_morse(n):

@@ -54,3 +54,32 @@ def test_text_longer_than_a_chunk():
     text = " ".join(rng.choice(["ab", "cd", "ef"]) for _ in range(50_000))
     (c,) = W.chunks(pa.array([text]), 1000)
     assert len(W.split_words(c).hashes) == 50_000
+
+
+def thue_morse(n):
+    return [bin(i).count("1") % 2 for i in range(n)]
+
+
+def test_repetitive_words_and_sequences_keep_their_own_hashes():
+    """Runs in the order of Thue and Morse and their complements share every polynomial hash modulo a power of two."""
+    for n in (8, 64, 1024, 2048):
+        letters = ["".join("ab"[b ^ flip] for b in thue_morse(n)) for flip in (0, 1)]
+        sequences = [" ".join(("left", "right")[b ^ flip] for b in thue_morse(n)) for flip in (0, 1)]
+        (c,) = W.chunks(pa.array([*letters, *sequences]))
+        w = W.split_words(c)
+        assert w.hashes[0] != w.hashes[1]
+        spans = W.span_hashes(w.hashes, w.first[:-1], w.first[1:])
+        assert len(set(spans.tolist())) == 4
+        p = W.split_pieces(c)
+        assert p.hashes[p.first[0]] != p.hashes[p.first[1]]
+
+
+def test_span_hashes_equal_the_polynomial():
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 1 << 64, 300, dtype=np.uint64)
+    prime = (1 << 61) - 1
+    a = rng.integers(0, 300, 50)
+    b = np.minimum(300, a + rng.integers(0, 200, 50))
+    found = W._ranges(h, a, b).tolist()
+    for x, y, got in zip(a.tolist(), b.tolist(), found):
+        assert got % prime == sum(int(v) % prime * pow(W._BASE, i, prime) for i, v in enumerate(h[x:y])) % prime
