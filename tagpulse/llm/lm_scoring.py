@@ -10,8 +10,8 @@ tenth of the training documents, by checksum of the id) is scored by the counts
 
 How it runs:
 
-1. One scan cuts the documents into chunks of about ``CHUNK`` bytes.  A chunk's words become numbers (its *sheet*), and its
-   distinct words and bigrams, with their counts among training documents, are sent as packed requests to buckets by hash.
+1. One scan cuts the documents into chunks of about ``CHUNK`` bytes, whose words become numbers: a *sheet*.  Sheets are stored.  A
+   sheet's distinct words and bigrams, with their counts among training documents, go as packed requests to buckets by hash.
 2. A bucket's task adds up the counts of all chunks and answers each request in its order.  A gram is once in a chunk's request, so
    no gram, however frequent, makes a bucket large; the number of buckets follows the bytes of text.
 3. Sheets and answers of a chunk meet: those of the deleted part give likelihood ratios on a grid of fixed steps, on which
@@ -39,9 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.llm.common import materialize
-from tagpulse.llm.tokens import LOWER, gathered, pack, pack_sorted, runs, text_bytes, unpack, unpack_sorted
+from tagpulse.llm.tokens import LOWER, batch_bytes, batch_rows, bucket_cuts, gathered, pack, pack_sorted, runs, text_bytes, unpack, unpack_sorted
 from tagpulse.llm.words import IS_SPACE, mix, run_hashes
-from tagpulse.session import delete_path, scratch_path, ship_package
+from tagpulse.session import ship_package
 
 #: Bytes of text in a chunk, and for each bucket of grams.
 CHUNK, BUCKET_BYTES = 8 << 20, 16 << 20
@@ -50,13 +50,13 @@ STEPS = 8
 #: One in so many training documents is deleted in turn to learn the weights.
 DELETED = 10
 EM_ROUNDS, EM_CLOSE = 200, 1e-7
-SHEET, WORDS, PAIRS = 0, 1, 2
+WORDS, PAIRS = 1, 2
 _U = np.uint64
 #: The end token's hash.
 END = _U(0x5851F42D4C957F2D)
 
-_GATHERED = ("chunk bigint, part int, kind int, bucket int, doc_ids array<bigint>, held array<boolean>, "
-             "lengths array<bigint>, hashes binary, counts binary")
+_SHEETS = "chunk bigint, part int, doc_ids array<bigint>, held array<boolean>, lengths array<bigint>, words binary, tokens binary"
+_REQUESTS = "chunk bigint, part int, kind int, bucket int, hashes binary, counts binary"
 _ANSWERS = "chunk bigint, part int, kind int, bucket int, counts binary, v bigint, n bigint"
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
@@ -86,59 +86,67 @@ def stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 1
 
 
-def pair_hashes(words: np.ndarray, tokens: np.ndarray, end: int) -> np.ndarray:
-    """The hash of each token with the one before it; the end token comes before the first."""
-    context = np.empty(len(tokens), np.int64)
-    context[0], context[1:] = end, tokens[:-1]
-    return mix(mix(words + _U(0xD1342543DE82EF95))[context] ^ words[tokens])
+def contexts(words: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The token before each; the end token comes before the first."""
+    return np.concatenate([[int(np.searchsorted(words, END))], tokens[:-1]])
 
 
-def _cuts(grams: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's grams begin among ascending hashes (the end included)."""
-    bounds = np.array([-(-(i << 64) // buckets) for i in range(1, buckets)], dtype=object)
-    return np.concatenate([[0], np.searchsorted(grams, bounds.astype(_U)), [len(grams)]]).astype(np.int64)
+def pair_hashes(words: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The hash of each token with its context."""
+    return mix(mix(words + _U(0xD1342543DE82EF95))[contexts(words, tokens)] ^ words[tokens])
 
 
-def gather(docs: DataFrame, buckets: int, path: str) -> None:
-    """Writes sheets and requests of ``doc_id, text, held, deleted`` rows to ``path``."""
+def sheets(docs: DataFrame) -> DataFrame:
+    """Chunks of ``doc_id, text, held, deleted`` rows as sheets; documents of the deleted part (1) are chunks of their own."""
+    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
+                        ("lengths", pa.list_(pa.int64())), ("words", pa.binary()), ("tokens", pa.binary())])
 
-    def rows_of(part: int, batch: pa.RecordBatch) -> Iterator[dict]:
-        chunk = int.from_bytes(os.urandom(8), "little") >> 1
+    def sheet(part: int, batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, lengths = stream(batch.column(1))
         words, tokens = np.unique(hashes, return_inverse=True)
-        held = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        train = np.repeat(~held, lengths)
-        yield {"kind": SHEET, "bucket": None, "doc_ids": batch.column(0).to_pylist(), "held": held.tolist(), "lengths": lengths.tolist(),
-               "hashes": pack_sorted(words), "counts": pack(tokens), "chunk": chunk, "part": part}
-        pairs, which = np.unique(pair_hashes(words, tokens, int(np.searchsorted(words, END))), return_inverse=True)
+        row = [int.from_bytes(os.urandom(8), "little") >> 1, part, batch.column(0).to_pylist(), batch.column(2).to_pylist(), lengths.tolist(), pack_sorted(words), pack(tokens)]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, schema.types, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: tuple[list, list] = ([], [])
+        held = [0, 0]
+        for batch in batches:
+            for part, rows in ((0, pc.invert(batch.column(3))), (1, batch.column(3))):
+                waiting[part].append(batch.filter(rows))
+                held[part] += waiting[part][-1].column(1).nbytes
+                if held[part] >= CHUNK:
+                    yield from (sheet(part, b) for b in gathered(iter(waiting[part]), CHUNK, 1))
+                    waiting[part].clear()
+                    held[part] = 0
+        for part in (0, 1):
+            yield from (sheet(part, b) for b in gathered(iter(waiting[part]), CHUNK, 1))
+
+    return docs.mapInArrow(run, _SHEETS)
+
+
+def requests(rows: DataFrame, buckets: int) -> DataFrame:
+    """Each sheet's distinct words and pairs by bucket, with their counts among its training documents."""
+    names = ["chunk", "part", "kind", "bucket", "hashes", "counts"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+    def of_sheet(chunk: int, part: int, held: list[bool], lengths: list[int], words: bytes, tokens: bytes) -> Iterator[tuple]:
+        words, tokens = unpack_sorted(words), unpack(tokens).astype(np.int64)
+        train = np.repeat(~np.array(held, bool), lengths)
+        pairs, which = np.unique(pair_hashes(words, tokens), return_inverse=True)
         for kind, grams, at in ((WORDS, words, tokens), (PAIRS, pairs, which)):
             counts = np.bincount(at[train], minlength=len(grams))
-            cuts = _cuts(grams, buckets)
+            cuts = bucket_cuts(grams, buckets)
             for b, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
                 if hi > lo:
-                    yield {"kind": kind, "bucket": b, "doc_ids": None, "held": None, "lengths": None, "hashes": pack_sorted(grams[lo:hi]),
-                           "counts": pack(counts[lo:hi]), "chunk": chunk, "part": part}
-
-    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
-                        ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("hashes", pa.binary()), ("counts", pa.binary())])
+                    yield chunk, part, kind, b, pack_sorted(grams[lo:hi]), pack(counts[lo:hi])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parted(part: int, source: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in gathered(iter(source), CHUNK, 1):
-                if batch.num_rows:
-                    yield pa.RecordBatch.from_pylist(list(rows_of(part, batch)), schema=schema)
-
-        waiting: tuple[list, list] = ([], [])
         for batch in batches:
-            for part, kept in ((0, batch.filter(pc.invert(batch.column(3)))), (1, batch.filter(batch.column(3)))):
-                waiting[part].append(kept)
-                if sum(b.column(1).nbytes for b in waiting[part]) >= CHUNK:
-                    yield from parted(part, waiting[part])
-                    waiting[part].clear()
-        for part in (0, 1):
-            yield from parted(part, waiting[part])
+            for i in range(batch.num_rows):
+                out = list(of_sheet(*(c[i].as_py() for c in batch.columns)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    docs.mapInArrow(run, _GATHERED).write.partitionBy("part", "kind").parquet(path)
+    return rows.select("chunk", "part", "held", "lengths", "words", "tokens").mapInArrow(run, _REQUESTS)
 
 
 def _answer(group: pd.DataFrame) -> pd.DataFrame:
@@ -187,13 +195,12 @@ class Counted:
 
 
 def counted(sheet: pd.Series, answers: pd.DataFrame) -> Counted:
-    words, tokens = unpack_sorted(sheet["hashes"]), unpack(sheet["counts"]).astype(np.int64)
+    words, tokens = unpack_sorted(sheet["words"]), unpack(sheet["tokens"]).astype(np.int64)
     counts = {}
     for kind, rows in answers.sort_values("bucket").groupby("kind"):
         counts[kind] = np.concatenate([unpack(x) for x in rows["counts"]]).astype(np.int64)
-    end = int(np.searchsorted(words, END))
-    _, pairs = np.unique(pair_hashes(words, tokens, end), return_inverse=True)
-    context = np.concatenate([[end], tokens[:-1]])
+    _, pairs = np.unique(pair_hashes(words, tokens), return_inverse=True)
+    context = contexts(words, tokens)
     return Counted(sheet, np.asarray(sheet["lengths"], np.int64), tokens, pairs, context, counts[WORDS][tokens], counts[WORDS][context], counts[PAIRS][pairs])
 
 
@@ -294,17 +301,13 @@ def count(docs: DataFrame, held_out: Column, deleted: Column, key: str = "doc_id
     ship_package(spark)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), held_out.alias("held"), (~held_out & deleted).alias("deleted"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    path = scratch_path(spark, "lm-gathered")
-    gather(docs, max(1, -(-size // BUCKET_BYTES)), path)
-    read = spark.read.schema(_GATHERED).parquet(path)
-    requests = read.where(F.col("kind").isin(WORDS, PAIRS)).select("chunk", "part", "kind", "bucket", "hashes", "counts")
-    answers = materialize(requests.groupBy("kind", "bucket").applyInPandas(_answer, _ANSWERS), "lm-answers")
-    for part in (0, 1):
-        for kind in (WORDS, PAIRS):
-            delete_path(spark, f"{path}/part={part}/kind={kind}")
+    with batch_bytes(spark, CHUNK):
+        made = materialize(sheets(docs), "lm-sheets")
+    with batch_rows(spark, 1):
+        asked = requests(made, max(1, -(-size // BUCKET_BYTES)))
+        answers = materialize(asked.groupBy("kind", "bucket").applyInPandas(_answer, _ANSWERS), "lm-answers")
     row = answers.where("chunk is null").agg(F.sum("n"), F.sum("v")).first()
-    sheets = spark.read.schema(_GATHERED).parquet(path).where(F.col("kind") == SHEET).select("chunk", "part", "doc_ids", "held", "lengths", "hashes", "counts")
-    return Gathered(sheets, answers, Totals(row[0] or 0, row[1] or 0))
+    return Gathered(made, answers, Totals(row[0] or 0, row[1] or 0))
 
 
 def learn_weights(found: Gathered) -> np.ndarray:
