@@ -45,6 +45,7 @@ EVEN_DEPTH = 6
 SIMILAR_Z = 1.96
 PRIOR = 10.0
 REJECT = 0.5
+NODE = ["host", "node"]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,52 +68,75 @@ def _smoothed(bad: Column, labelled: Column, prior: Column) -> Column:
     return (bad + F.lit(PRIOR) * prior) / (labelled + F.lit(PRIOR))
 
 
+def _differ(a: Column, b: Column) -> Column:
+    """Whether the shares of bad pages in two structs ``(bad, labelled)`` differ by more than chance."""
+    n_a, n_b = F.greatest(a["labelled"], F.lit(1)), F.greatest(b["labelled"], F.lit(1))
+    pooled = (a["bad"] + b["bad"]) / F.greatest(a["labelled"] + b["labelled"], F.lit(1))
+    return F.abs(a["bad"] / n_a - b["bad"] / n_b) > SIMILAR_Z * F.sqrt(pooled * (1 - pooled) * (1 / n_a + 1 / n_b))
+
+
+def _closed(classed: DataFrame) -> DataFrame:
+    """Classes whose ends differ are halved, each branch going to the nearer end, until no class has ends that differ.
+
+    Neighbours may differ by chance alone all the way from a clean branch to a bad one."""
+    of = [*NODE, "class"]
+    known = F.col("labelled") >= PRIOR
+    while True:
+        ends = classed.where(known).groupBy(*of).agg(
+            F.min(F.struct("rate", "bad", "labelled")).alias("low"), F.max(F.struct("rate", "bad", "labelled")).alias("high"))
+        wide = materialize(ends.where(_differ(F.col("low"), F.col("high"))).select(*of, F.col("low.rate").alias("low"), F.col("high.rate").alias("high")), "url-wide")
+        if wide.isEmpty():
+            return classed
+        upper = F.coalesce(F.col("rate") - F.col("low") > F.col("high") - F.col("rate"), F.lit(False)).cast("long")
+        halved = F.when(F.col("low").isNotNull(), F.concat("class", F.lit("."), upper)).otherwise(F.col("class"))
+        classed = materialize(classed.join(wide, of, "left").withColumn("class", halved).drop("low", "high"), "url-classed")
+
+
 def _level(walk: DataFrame, depth: int, overall: float) -> DataFrame:
-    """All pages one segment further down."""
-    node = ["host", "template"]
+    """All pages one segment further down.  A node's key is made of class numbers; names are for display only."""
     walk = walk.withColumn("segment", F.coalesce(F.get("segments", F.lit(depth)), F.lit("")))
     sums = [F.count(F.lit(1)).alias("pages"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")]
-    nodes = materialize(walk.groupBy(*node).agg(*sums), "url-nodes")
-    often = walk.groupBy(*node, "segment").agg(*sums).where(F.col("pages") >= MIN_PAGES)
+    nodes = materialize(walk.groupBy(*NODE).agg(*sums), "url-nodes")
+    often = walk.groupBy(*NODE, "segment").agg(*sums).where(F.col("pages") >= MIN_PAGES)
     literal = materialize(often.withColumnRenamed("segment", "name"), "url-branches")
-    own = literal.groupBy(*node).agg(*[F.sum(c).alias(f"own_{c}") for c in ("pages", "labelled", "bad")])
-    rest = (nodes.join(own, node, "left").select(*node, F.lit("*").alias("name"), *[
+    own = literal.groupBy(*NODE).agg(*[F.sum(c).alias(f"own_{c}") for c in ("pages", "labelled", "bad")])
+    rest = (nodes.join(own, NODE, "left").select(*NODE, F.lit("*").alias("name"), *[
         (F.col(c) - F.coalesce(f"own_{c}", F.lit(0))).alias(c) for c in ("pages", "labelled", "bad")]).where("pages > 0"))
     # A literal segment "*" is marked, so that it is not taken for the wildcard.
     branches = literal.withColumn("kind", F.lit(0)).unionByName(rest.withColumn("kind", F.lit(1)))
-    n, bad = F.col("labelled"), F.col("bad")
-    by_rate = Window.partitionBy(*node).orderBy("rate", "kind", "name")
-    rated = branches.withColumn("rate", _smoothed(bad, n, F.lit(overall)))
+    by_rate = Window.partitionBy(*NODE).orderBy("rate", "kind", "name")
+    rated = branches.withColumn("rate", _smoothed(F.col("bad"), F.col("labelled"), F.lit(overall)))
     # Branches with few labels stand between others without telling anything; they would bridge what is apart.
-    known_rate = n >= PRIOR
-    before = F.last(F.when(known_rate, F.struct(bad, n)), ignorenulls=True).over(by_rate.rowsBetween(Window.unboundedPreceding, -1))
-    last_n, last_bad = F.col("before.labelled"), F.col("before.bad")
-    pooled = (bad + last_bad) / F.greatest(n + last_n, F.lit(1))
-    gap = F.abs(bad / F.greatest(n, F.lit(1)) - last_bad / F.greatest(last_n, F.lit(1)))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(n, F.lit(1)) + 1 / F.greatest(last_n, F.lit(1))))
-    apart = known_rate & (gap > SIMILAR_Z * spread)
-    classed = rated.withColumn("before", before).withColumn("new", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("class", F.sum("new").over(by_rate))
+    known_rate = F.col("labelled") >= PRIOR
+    own_counts = F.struct("bad", "labelled")
+    before = F.last(F.when(known_rate, own_counts), ignorenulls=True).over(by_rate.rowsBetween(Window.unboundedPreceding, -1))
+    apart = known_rate & _differ(own_counts, F.col("before"))
+    classed = rated.withColumn("before", before).withColumn("new", F.coalesce(apart, F.lit(False)).cast("int")) \
+        .withColumn("class", F.sum("new").over(by_rate).cast("string"))
     shown = F.when(F.col("kind") == 1, "*").otherwise(F.col("name"))
-    classed = materialize(classed.select(*node, "class", "kind", "name", shown.alias("shown")), "url-classed")
-    place = F.row_number().over(Window.partitionBy(*node, "class").orderBy("shown", "kind"))
-    listed = classed.withColumn("place", place).groupBy(*node, "class").agg(
+    classed = materialize(classed.select(*NODE, "class", "kind", "name", "rate", "bad", "labelled", shown.alias("shown")), "url-classed")
+    classed = _closed(classed)
+    place = F.row_number().over(Window.partitionBy(*NODE, "class").orderBy("shown", "kind"))
+    listed = classed.withColumn("place", place).groupBy(*NODE, "class").agg(
         F.count(F.lit(1)).alias("of"), F.sort_array(F.collect_list(F.when(F.col("place") <= NAMES, F.col("shown")))).alias("names"))
     more = F.when(F.col("of") > NAMES, F.concat(F.lit("|+"), F.col("of") - NAMES)).otherwise("")
-    named = listed.select(*node, "class", F.concat("template", F.lit("/{"), F.concat_ws("|", "names"), more, F.lit("}")).alias("next"))
-    known = materialize(classed.join(named, [*node, "class"]).select(*node, "kind", "name", "next"), "url-classes")
-    literals = known.where("kind = 0").select(*node, F.col("name").alias("segment"), "next")
-    wild = known.where("kind = 1").select(*node, F.col("next").alias("wild"))
-    return (walk.join(literals, [*node, "segment"], "left").join(wild, node, "left")
-            .select("page_id", "url", "segments", "labelled", "bad", "host", "path", F.coalesce("next", "wild").alias("template")))
+    named = listed.select(*NODE, "class", F.concat("node", F.lit("/"), "class").alias("next"),
+                          F.concat(F.lit("/{"), F.concat_ws("|", "names"), more, F.lit("}")).alias("step"))
+    known = materialize(classed.join(named, [*NODE, "class"]).select(*NODE, "kind", "name", "next", "step"), "url-classes")
+    literals = known.where("kind = 0").select(*NODE, F.col("name").alias("segment"), "next", "step")
+    wild = known.where("kind = 1").select(*NODE, F.col("next").alias("wild"), F.col("step").alias("wild_step"))
+    return (walk.join(literals, [*NODE, "segment"], "left").join(wild, NODE, "left")
+            .select("page_id", "url", "segments", "labelled", "bad", "host", "path", F.coalesce("next", "wild").alias("node"),
+                    F.concat("template", F.coalesce("step", "wild_step")).alias("template")))
 
 
 def _unsettled(walk: DataFrame, depth: int) -> DataFrame:
     """The nodes that could still split: labels of both kinds, pages enough for a branch, different paths, a further segment."""
-    sums = walk.groupBy("host", "template").agg(
+    sums = walk.groupBy(*NODE).agg(
         F.count(F.lit(1)).alias("pages"), F.sum("labelled").alias("n"), F.sum("bad").alias("b"), F.max(F.size("segments")).alias("deepest"),
         F.min("path").alias("low"), F.max("path").alias("high"))
     going = sums.where((F.col("pages") >= MIN_PAGES) & (F.col("b") > 0) & (F.col("b") < F.col("n")) & (F.col("deepest") > depth) & (F.col("low") < F.col("high")))
-    return materialize(going.select("host", "template"), "url-unsettled")
+    return materialize(going.select(*NODE), "url-unsettled")
 
 
 def templates(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url: str = "url") -> DataFrame:
@@ -123,7 +147,7 @@ def templates(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     walk = materialize(rows.withColumn("host", host).withColumn("path", path).select(
         "page_id", "url", "host", "path", segments.alias("segments"), F.col("bad").isNotNull().cast("long").alias("labelled"),
-        F.coalesce("bad", F.lit(0)).alias("bad"), F.lit("").alias("template")), "url-walk")
+        F.coalesce("bad", F.lit(0)).alias("bad"), F.lit("").alias("node"), F.lit("").alias("template")), "url-walk")
     total = walk.agg(F.sum("labelled"), F.sum("bad"), F.max(F.size("segments"))).first()
     overall = (total[1] or 0) / total[0] if total[0] else 0.0
     for depth in range(min(total[2] or 0, EVEN_DEPTH)):
@@ -133,16 +157,16 @@ def templates(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url
         going = _unsettled(walk, depth)
         if going.isEmpty():
             break
-        settled.append(materialize(walk.join(going, ["host", "template"], "left_anti"), "url-settled"))
-        walk = materialize(_level(walk.join(going, ["host", "template"], "left_semi"), depth, overall), "url-walk")
+        settled.append(materialize(walk.join(going, NODE, "left_anti"), "url-settled"))
+        walk = materialize(_level(walk.join(going, NODE, "left_semi"), depth, overall), "url-walk")
     for rows in settled:
         walk = walk.unionByName(rows)
     hosts = walk.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).select(
         "host", _smoothed(F.col("b"), F.col("n"), F.lit(overall)).alias("host_rate"))
-    leaves = walk.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    leaves = walk.groupBy(*NODE).agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
     purity = materialize(leaves.join(hosts, "host").select(
-        "host", "template", _smoothed(F.col("b"), F.col("n"), F.col("host_rate")).alias("purity")), "url-purity")
-    return walk.join(purity, ["host", "template"]).select("page_id", "url", "host", "path", "template", "purity")
+        *NODE, _smoothed(F.col("b"), F.col("n"), F.col("host_rate")).alias("purity")), "url-purity")
+    return walk.join(purity, NODE).select("page_id", "url", "host", "path", "template", "purity")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, reject: float = REJECT) -> DataFrame:

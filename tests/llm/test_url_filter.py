@@ -46,6 +46,20 @@ def test_hosts_paths_and_rules(spark):
         assert r.verdict == (rule[1] if rule else "allow")
 
 
+def closed(group, tally, overall):
+    """A class whose lowest and highest rates differ is no class: each branch goes with the nearer end."""
+    rated = [((bad + U.PRIOR * overall) / (n + U.PRIOR), bad, n, b) for b in group for bad, n in [tally(b[2])]]
+    known = sorted((r[:3] for r in rated if r[2] >= U.PRIOR))
+    if known:
+        (low, bad, n), (high, last, m) = known[0], known[-1]
+        pooled = (bad + last) / (n + m)
+        if abs(bad / n - last / m) > U.SIMILAR_Z * math.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)):
+            near_low = [b for rate, _, _, b in rated if rate - low <= high - rate]
+            near_high = [b for rate, _, _, b in rated if rate - low > high - rate]
+            return [*closed(near_low, tally, overall), *closed(near_high, tally, overall)]
+    return [group]
+
+
 def brute_templates(rows, marked):
     """The tree, node by node."""
     info = {i: (*host_path(u), marked.get(i)) for i, u in rows}
@@ -83,6 +97,7 @@ def brute_templates(rows, marked):
                     groups[-1].append(b)
                 else:
                     groups.append([b])
+            groups = [part for g in groups for part in closed(g, tally, overall)]
             for g in groups:
                 name = "{" + "|".join(sorted(b[1] for b in g)) + "}"
                 for b in g:
@@ -142,3 +157,29 @@ def test_segments_at_any_depth_take_part(spark):
     found = U.judge(pages(spark, rows), labels(spark, marked)).collect()
     assert sorted(r.page_id for r in found) == [n for n, _ in rows]
     assert {r.page_id for r in found if r.verdict == "block" and r.page_id < 1000} == set(range(0, 120, 2))
+
+
+def test_a_row_of_rates_from_clean_to_bad_is_no_single_class(spark):
+    """41 directories of 40 pages with 0, 1, ... 40 bad ones: neighbours differ by chance, the ends don't."""
+    rows, marked = [], []
+    for k in range(41):
+        for j in range(40):
+            rows.append((len(rows), f"http://a.com/d{k:02d}/{j}"))
+            marked.append((len(rows) - 1, int(j < k)))
+    found = U.judge(pages(spark, rows), labels(spark, marked)).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r.path.split("/")[1], set()).add(r.verdict)
+    assert by["d00"] == by["d05"] == {"allow"} and by["d40"] == by["d35"] == {"block"}
+
+
+def test_a_literal_star_is_not_the_wildcard(spark):
+    rows = [(n, "http://a.com/*/x") for n in range(100)] + [(100 + n, f"http://a.com/p{n}/x") for n in range(300)]
+    found = U.judge(pages(spark, rows), labels(spark, [(n, int(n < 100)) for n, _ in rows])).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(100))
+
+
+def test_a_segment_that_reads_like_a_class_is_its_own(spark):
+    rows = [(n, "http://a.com/a|b/x") for n in range(60)] + [(60 + n, f"http://a.com/{'ab'[n % 2]}/x") for n in range(200)]
+    found = U.judge(pages(spark, rows), labels(spark, [(n, int(n < 60)) for n, _ in rows])).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(60))
