@@ -94,17 +94,20 @@ def counter_rows(counts: np.ndarray, kind: type = np.int64) -> Iterator[tuple[in
             yield i, zlib.compress(np.ascontiguousarray(part, kind).tobytes(), 1)
 
 
-def sum_counters(blocks: DataFrame, shape: tuple[int, ...], kind: type = np.int64) -> np.ndarray:
-    """Element-wise sum of the tasks' counters; unsigned kinds stop at their largest value.
+def sum_counters(blocks: DataFrame, shape: tuple[int, ...], kind: type = np.int64, wide: type | None = None,
+                 finish: Callable[[np.ndarray], np.ndarray] = lambda part: part) -> np.ndarray:
+    """Element-wise sum of the tasks' counters (of ``kind``), as ``wide`` numbers; unsigned kinds stop at their largest value.
+    ``finish`` is applied to each block of the sum, before they are put together.
 
     Blocks of one number meet in one task, which adds them as they stream in;
     the sum has the fixed size ``shape``, however large the input."""
     parts = [p.shape for p in np.array_split(np.empty(shape, np.int8), COUNTER_BLOCKS, axis=-1)]
+    wide = wide or kind
 
     def plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = a + b
-        if np.issubdtype(kind, np.unsignedinteger):
-            out[out < a] = np.iinfo(kind).max
+        if np.issubdtype(wide, np.unsignedinteger):
+            out[out < a] = np.iinfo(wide).max
         return out
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +115,7 @@ def sum_counters(blocks: DataFrame, shape: tuple[int, ...], kind: type = np.int6
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(zlib.decompress(blob.as_py()), kind)
+                part = np.frombuffer(zlib.decompress(blob.as_py()), kind).astype(wide)
                 total[i] = plus(total[i], part) if i in total else part
         for i, part in total.items():
             yield pa.RecordBatch.from_arrays(
@@ -120,8 +123,8 @@ def sum_counters(blocks: DataFrame, shape: tuple[int, ...], kind: type = np.int6
 
     import zlib
     rows = (blocks.repartition(COUNTER_BLOCKS, "block").mapInArrow(add, _COUNTER_SCHEMA)).collect()
-    found = {r["block"]: np.frombuffer(zlib.decompress(bytes(r["counts"])), kind) for r in rows}
-    return np.concatenate([found[i].reshape(s) if i in found else np.zeros(s, kind)
+    found = {r["block"]: finish(np.frombuffer(zlib.decompress(bytes(r["counts"])), wide)) for r in rows}
+    return np.concatenate([found[i].reshape(s) if i in found else finish(np.zeros(s, wide))
                            for i, s in enumerate(parts)], axis=-1)
 
 

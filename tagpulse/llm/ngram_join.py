@@ -4,11 +4,12 @@ A document's set holds its distinct n-word shingles (64-bit hashes); shorter doc
 sequence as one.  Steps:
 
 1. One scan gives each set's size and 128-bit digest, and counts shingles into ``2**SKETCH_BITS`` counters (a
-   fixed size).  The order "rare first" is by counter, then by hash.  Any order gives right links; a good one
-   gives short lists.
-2. Of each set only the prefix is posted: as many of its rarest shingles as a set alike must share one of.
-   Of equal sets a task posts one.  Postings whose shingle nobody else posts go, and of shingles posted by the
-   same sets all but the first.
+   fixed size).  The order "rare first" is by counter, then by hash.  Counters reach the tasks as logarithms of one byte, an
+   eighth of a doubling each, so they rank at any size.  Any order gives right links; a good one gives short lists.
+2. Of each set only the prefix matters: as many of its rarest shingles as a set alike must share one of.
+   Of equal sets a task keeps one.  Prefixes are stored in packed chunks.  A chunk asks by bucket of the hash which of its
+   shingles more than one set has in its prefix; only those are posted as rows, so that the many shingles that nobody
+   shares never are.  Of shingles posted by the same sets all but the first go.
 3. Candidates share a posted shingle and pass the length and positional filters.  First, every posting is paired
    only with the hub of its list (the posting nearest to the head of its set).  The links found join documents into
    components; then the pairs of each list that are still in different components are joined, all of them.
@@ -28,18 +29,25 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.llm.common import arrow_batches, components, counter_rows, discard, id_filter, id_slot, look_up, materialize, sum_counters
+from tagpulse.llm.tokens import bucket_cuts, pack, pack_sorted, unpack, unpack_sorted
 from tagpulse.llm.words import chunks, mix, signed, split_words, span_hashes, window_hashes
+from tagpulse.session import delete_path, scratch_path
 
-#: One byte each; counts stop at 255, beyond which order by hash does as well.
 SKETCH_BITS = 24
+#: Steps of a counter's logarithm in a doubling; a byte then ranks counts up to 2**31.
+RANK_STEPS = 8
+#: Shingles in a chunk of prefixes, and for each bucket of requests.
+CHUNK_TOKENS, BUCKET_TOKENS = 1 << 18, 1 << 20
 _U = np.uint64
 
 
@@ -62,29 +70,30 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=_U).view(np.int64)), int(mix(a).sum(dtype=_U).view(np.int64))
 
 
-_SCAN = "doc_id bigint, n bigint, d1 bigint, d2 bigint, block int, counts binary"
+_SCAN = "doc_id bigint, n bigint, d1 bigint, d2 bigint, block int, counts binary, kind int"
 
 
 def _scan(docs: DataFrame, n: int) -> DataFrame:
     """Sizes and digests of all sets, and the tasks' counters, in one table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint8)
-        names = ["doc_id", "n", "d1", "d2", "block", "counts"]
+        counts = np.zeros(1 << SKETCH_BITS, np.uint16)
+        names = ["doc_id", "n", "d1", "d2", "block", "counts", "kind"]
         for batch in batches:
             sizes, digests = [], []
             for s in shingle_sets(batch.column(1), n):
                 sizes.append(len(s))
                 digests.append(_digest(s))
                 slot = s >> _U(64 - SKETCH_BITS)
-                counts[slot] += counts[slot] < 255
+                counts[slot] += counts[slot] < np.iinfo(np.uint16).max
             rows = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array([d[0] for d in digests], pa.int64()),
-                 pa.array([d[1] for d in digests], pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
-        for block, blob in counter_rows(counts, np.uint8):
+                 pa.array([d[1] for d in digests], pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                 pa.array(np.zeros(rows, np.int32))], names)
+        for block, blob in counter_rows(counts, np.uint16):
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(1, pa.int64()) for _ in range(4)], pa.array([block], pa.int32()), pa.array([blob], pa.binary())], names)
+                [*[pa.nulls(1, pa.int64()) for _ in range(4)], pa.array([block], pa.int32()), pa.array([blob], pa.binary()), pa.array([1], pa.int32())], names)
 
     return docs.mapInArrow(run, _SCAN)
 
@@ -93,32 +102,84 @@ def prefix_length(n: int, percent: int) -> int:
     return n + (-n * percent // 100) + 1
 
 
-def _postings(docs: DataFrame, n: int, percent: int, counters: np.ndarray) -> DataFrame:
-    """``token, doc_id, n, pos, mark`` of every prefix, ``mark`` a digest of its set; equal sets once a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(counters)
+_PREFIXES = "chunk bigint, doc_ids array<bigint>, sizes array<int>, lengths array<int>, marks array<bigint>, tokens binary"
+_POSTED = "token bigint, doc_id bigint, n int, pos int, mark bigint"
+
+
+def _prefixes(docs: DataFrame, n: int, percent: int, ranks: np.ndarray) -> DataFrame:
+    """Every set's prefix, in chunks: ids, set sizes, prefix lengths, digests, and the shingles rarest first.  Equal sets once a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary()]
+
+    def chunk(held: list[tuple]) -> pa.RecordBatch:
+        ids, sizes, marks, tokens = zip(*held, strict=True)
+        row = [int.from_bytes(os.urandom(8), "little") >> 1, list(ids), list(sizes), [len(t) for t in tokens], list(marks), np.concatenate(tokens).tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], [c.split()[0] for c in _PREFIXES.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity, seen = shared.value, set()
+        rarity, seen, held, size = shared.value, set(), [], 0
         for batch in batches:
-            tokens, ids, sizes, marks = [], [], [], []
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n), strict=True):
                 if doc is None or not len(s) or (digest := _digest(s)) in seen:
                     continue
                 seen.add(digest)
                 order = np.argsort(rarity[s >> _U(64 - SKETCH_BITS)], kind="stable")
-                tokens.append(s[order[:prefix_length(len(s), percent)]])
-                ids.append(doc)
-                sizes.append(len(s))
-                marks.append(digest[0])
-            if tokens:
-                lengths = [len(t) for t in tokens]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.repeat(ids, lengths), pa.int64()),
-                     pa.array(np.repeat(sizes, lengths), pa.int32()), pa.array(np.concatenate([np.arange(x) for x in lengths]), pa.int32()),
-                     pa.array(np.repeat(marks, lengths), pa.int64())],
-                    ["token", "doc_id", "n", "pos", "mark"])
+                held.append((doc, len(s), digest[0], s[order[:prefix_length(len(s), percent)]]))
+                size += len(held[-1][3])
+                if size >= CHUNK_TOKENS:
+                    yield chunk(held)
+                    held, size = [], 0
+        if held:
+            yield chunk(held)
+
+    return docs.mapInArrow(run, _PREFIXES)
 
-    return docs.mapInArrow(run, "token bigint, doc_id bigint, n int, pos int, mark bigint")
+
+def _asked(prefixes: DataFrame, buckets: int) -> DataFrame:
+    """Each chunk's distinct shingles by bucket, and which of them it has more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, tokens in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found, times = np.unique(np.frombuffer(tokens.as_py(), _U), return_counts=True)
+                cuts = bucket_cuts(found, buckets)
+                rows = [(b, pack_sorted(found[lo:hi]), pack((times[lo:hi] > 1).astype(_U)))
+                        for b, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if hi > lo]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(rows), pa.int64()), *[
+                    pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)]], ["chunk", "bucket", "tokens", "twice"])
+
+    return prefixes.select("chunk", "tokens").mapInArrow(run, "chunk bigint, bucket int, tokens binary, twice binary")
+
+
+def _answered(group: pd.DataFrame) -> pd.DataFrame:
+    """For each request of a bucket, the shingles that are in more than one prefix."""
+    tokens = [unpack_sorted(x) for x in group["tokens"]]
+    ends = np.cumsum([len(t) for t in tokens])
+    _, which, chunks_ = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    shared = chunks_ > 1
+    twice = np.concatenate([unpack(x) for x in group["twice"]]) > 0
+    np.logical_or.at(shared, which, twice)
+    return pd.DataFrame({"chunk": group["chunk"], "tokens": [
+        pack_sorted(t[shared[w]]) for t, w in zip(tokens, np.split(which, ends[:-1]), strict=True)]})
+
+
+def _postings(prefixes: DataFrame, answers: DataFrame) -> DataFrame:
+    """``token, doc_id, n, pos, mark`` of the shingles that more than one prefix has; ``mark`` is a digest of the set."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        wanted = np.sort(np.concatenate([unpack_sorted(x) for x in right["tokens"]])) if len(right) else np.empty(0, _U)
+        out = []
+        for row in left.itertuples():
+            tokens, lengths = np.frombuffer(row.tokens, _U), np.asarray(row.lengths, np.int64)
+            spot = np.minimum(np.searchsorted(wanted, tokens), max(0, len(wanted) - 1))
+            keep = wanted[spot] == tokens if len(wanted) else np.zeros(len(tokens), bool)
+            of = np.repeat(np.arange(len(lengths)), lengths)[keep]
+            pos = (np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths))[keep]
+            out.append(pd.DataFrame({"token": signed(tokens[keep]), "doc_id": np.asarray(row.doc_ids, np.int64)[of], "n": np.asarray(row.sizes, np.int32)[of],
+                                     "pos": pos.astype(np.int32), "mark": np.asarray(row.marks, np.int64)[of]}))
+        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _POSTED.split(", ")})
+
+    return prefixes.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, _POSTED)
 
 
 def _filters(percent: int, n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
@@ -183,9 +244,13 @@ def linked(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text: str
     """``doc_id, n_shingles, component_id`` of every row."""
     arrow_batches(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    scanned = materialize(_scan(docs, n), "join-scan")
-    rows = scanned.where("block is null").select("doc_id", "n", "d1", "d2")
-    counters = sum_counters(scanned.where("block is not null").select("block", "counts"), (1 << SKETCH_BITS,), np.uint8)
+    scan_path = scratch_path(docs.sparkSession, "join-scan")
+    _scan(docs, n).write.partitionBy("kind").parquet(scan_path)
+    scanned = docs.sparkSession.read.schema(_SCAN).parquet(scan_path)
+    rows = scanned.where("kind = 0").select("doc_id", "n", "d1", "d2")
+    ranks = sum_counters(scanned.where("kind = 1").select("block", "counts"), (1 << SKETCH_BITS,), np.uint16, np.uint32,
+                         lambda part: np.minimum(255, np.rint(RANK_STEPS * np.log2(1.0 + part))).astype(np.uint8))
+    delete_path(docs.sparkSession, f"{scan_path}/kind=1")
 
     # Equal sets: everyone links with the smallest id.
     known = rows.where("n > 0 and doc_id is not null")
@@ -194,7 +259,11 @@ def linked(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text: str
     copies = look_up(known, classes, ["d1", "d2", "n"], "copies", max(1, known.count())).where("doc_id <> rep").select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
-    posted = materialize(_postings(docs, n, percent, counters), "join-postings")
+    prefixes = materialize(_prefixes(docs, n, percent, ranks), "join-prefixes")
+    total = prefixes.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    answers = materialize(_asked(prefixes, max(1, -(-total // BUCKET_TOKENS))).groupBy("bucket").applyInPandas(_answered, "chunk bigint, tokens binary"), "join-answers")
+    posted = materialize(_postings(prefixes, answers), "join-postings")
+    discard(prefixes, answers)
     # Shingles that the same sets post are in the same order in each; the first finds all that the others could.
     # A set posted by several tasks posts its whole prefix in each, so equal multisets of (id, set) are equal lists.
     # Sums don't cancel; of 32 bits each, they don't overflow.
