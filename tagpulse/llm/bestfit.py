@@ -9,7 +9,7 @@ there is none, a bin is opened.  A document longer than a bin is cut: its full
 pieces fill bins of their own, the last piece is packed like any other.
 
 Groups are hashed, so neither a hot source nor a large cluster gathers in one; every
-task holds one group of narrow rows.  Bins never mix groups, which leaves at most
+task holds one group of narrow rows (rows of one id, or without an id, are one group).  Bins never mix groups, which leaves at most
 one loose tail of bins in each.
 
 Defined results: a null source is a source of its own; a null or empty text has size 0

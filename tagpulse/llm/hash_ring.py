@@ -10,7 +10,7 @@ adding a shard or documents moves few of the others.
 DataFrame operations only.  What grows with the input is one narrow row per
 document, shuffled once by arc; the ring, the counts of the arcs and the flow
 between them have a fixed size (shards x virtual nodes) and are settled on the
-driver.  No arc can be hot: ids are hashed, and texts play no part.
+driver.  Ids are hashed and texts play no part, so an arc is hot only if one id (or none) has many rows.
 
 Defined results: a null id is an id of its own; rows with the same id lie at the
 same point and are told apart by text checksum and size; a null text has
