@@ -2,7 +2,8 @@
 
     python -m tagpulse.jobs ingest  --posts DIR [--posts-format json] [--stream] SINK
     python -m tagpulse.jobs tail    SOURCE
-    python -m tagpulse.jobs speed   SOURCE --views DIR [--once] [--dedupe-delay "1 hour"]
+    python -m tagpulse.jobs learn   --labelled PARQUET --model DIR
+    python -m tagpulse.jobs speed   SOURCE --views DIR [--once] [--dedupe-delay "1 hour"] [--model DIR]
     python -m tagpulse.jobs batch   --views DIR [--increment] ENGLISH LEXICON
     python -m tagpulse.jobs serve   --views DIR HASHTAG
     python -m tagpulse.jobs compact --views DIR
@@ -10,11 +11,11 @@
 SOURCE and SINK are ``--records DIR [--format parquet]`` or ``--format kafka --option
 kafka.bootstrap.servers=HOST:PORT --option subscribe=TOPIC`` (``topic=TOPIC`` for a sink); other
 ``--option key=value`` pairs go to the reader or writer too.  ENGLISH says which posts count
-as English: ``--labelled PARQUET`` (``text, lang``: detect), ``--lang-column`` (the archive's lines have a
+as English: ``--labelled PARQUET`` (``text, lang``: detect), ``--model DIR`` (detect by the model that ``learn`` stored), ``--lang-column`` (the archive's lines have a
 ``lang`` field) or ``--all-english``.  LEXICON is ``--lexicon STOP POSITIVE NEGATIVE`` or ``--packaged-lexicon``.
 
 ``--increment`` reads only the archive folders that no increment before has read.
-``--views`` holds ``summary/``, ``archive/``, ``rejected/``, ``sentiment/`` or ``increments/`` and the stream
+``--views`` holds ``summary/``, ``archive/``, ``rejected/``, ``english/`` (with a model), ``sentiment/`` or ``increments/`` and the stream
 checkpoint.  Results are DataFrames; only ``serve`` prints, streaming its rows
 to the driver one partition at a time.
 """
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from tagpulse.functions.lexicon import Lexicon, LexiconTable, default_lexicon, load_lexicon
 from tagpulse.operators import intervals as I
 from tagpulse.operators import language as L
+from tagpulse.operators import language_model as LM
 from tagpulse.operators import sentiment as S
 from tagpulse.operators.speed import parse_records, to_records
 from tagpulse.schemas import RAW_POST
@@ -43,7 +45,7 @@ from tagpulse.streaming.speed_layer import MICRO_BATCH, record_stream, start_spe
 
 def layout(views: str) -> dict[str, str]:
     views = views.rstrip("/")
-    return {name: f"{views}/{name}" for name in ("summary", "archive", "sentiment", "increments", "rejected", "checkpoint", "ingest_checkpoint")}
+    return {name: f"{views}/{name}" for name in ("summary", "archive", "sentiment", "increments", "rejected", "english", "checkpoint", "ingest_checkpoint")}
 
 
 def ingest(spark: SparkSession, posts: str, records: str | None, posts_fmt: str = "json", fmt: str = "parquet",
@@ -71,32 +73,46 @@ def tail(spark: SparkSession, records: str | None, fmt: str = "parquet", options
 
 def speed(spark: SparkSession, records: str | None, views: str, fmt: str = "parquet",
           options: dict | None = None, once: bool = False, echo: bool = False,
-          timeout_s: float | None = None, dedupe_delay: str | None = None):
-    """Summary view, raw archive and rejected records from the record stream."""
+          timeout_s: float | None = None, dedupe_delay: str | None = None, model: str | None = None):
+    """Summary view, raw archive, rejected records and (with a stored language model) English posts from the record stream."""
     paths = layout(views)
     query = start_speed_layer(record_stream(spark, fmt, records, options), paths["summary"],
                               paths["archive"], paths["checkpoint"], available_now=once, echo=echo, dedupe_delay=dedupe_delay,
-                              rejected_path=paths["rejected"])
+                              rejected_path=paths["rejected"], model=LM.load(spark, model) if model else None,
+                              english_path=paths["english"] if model else None)
     query.awaitTermination(timeout_s)
     return query
 
 
 def batch(spark: SparkSession, views: str, lexicon: Lexicon | LexiconTable, labelled: DataFrame | None = None,
-          lang_column: bool = False, all_english: bool = False) -> DataFrame:
+          lang_column: bool = False, all_english: bool = False, model: str | None = None) -> DataFrame:
     """Archive -> English posts -> sentiment view.
 
     Exactly one of ``labelled`` (detect English with trigram profiles trained on its
-    ``text, lang``), ``lang_column`` (read the lines' ``lang`` field) and
+    ``text, lang``), ``model`` (detect with the profiles stored there), ``lang_column`` (read the lines' ``lang`` field) and
     ``all_english`` must be given: the original always filters on English."""
-    if (labelled is not None) + lang_column + all_english != 1:
-        raise ValueError("say which posts are English: labelled, lang_column or all_english")
+    _one_english(labelled, lang_column, all_english, model)
     paths = layout(views)
-    write_view(sentiment_of_lines(spark.read.text(paths["archive"]).select("value"), lexicon, labelled, lang_column), paths["sentiment"])
+    lines = spark.read.text(paths["archive"]).select("value")
+    write_view(sentiment_of_lines(lines, lexicon, labelled, lang_column, LM.load(spark, model) if model else None), paths["sentiment"])
     return read_sentiment_view(spark, paths["sentiment"])
 
 
-def sentiment_of_lines(lines: DataFrame, lexicon: Lexicon | LexiconTable, labelled: DataFrame | None = None, lang_column: bool = False) -> DataFrame:
+def _one_english(labelled: DataFrame | None, lang_column: bool, all_english: bool, model: str | None) -> None:
+    if (labelled is not None) + lang_column + all_english + (model is not None) != 1:
+        raise ValueError("say which posts are English: labelled, model, lang_column or all_english")
+
+
+def learn(spark: SparkSession, labelled: DataFrame, model: str) -> int:
+    """Language profiles of labelled texts as the newest version of the model stored at ``model``."""
+    return LM.save(spark, model.rstrip("/"), labelled.select("text", "lang"))
+
+
+def sentiment_of_lines(lines: DataFrame, lexicon: Lexicon | LexiconTable, labelled: DataFrame | None = None, lang_column: bool = False,
+                       model: LM.LanguageModel | None = None) -> DataFrame:
     """``_id, text, sentiment`` of archived lines (``value``): English by detection, by their ``lang`` field, or all."""
+    if model is not None:
+        return S.sentiment_view(model.english(parse_records(lines)).withColumn("lang", F.lit(S.ENGLISH)), lexicon)
     if labelled is not None:
         archive, labelled = parse_records(lines), labelled.select("text", "lang")
         english = L.english_ids(L.detect(archive.select("id", "text"), L.train_profiles(labelled), L.training_vocabulary(labelled)))
@@ -108,13 +124,13 @@ def sentiment_of_lines(lines: DataFrame, lexicon: Lexicon | LexiconTable, labell
 
 
 def batch_increment(spark: SparkSession, views: str, lexicon: Lexicon | LexiconTable, labelled: DataFrame | None = None,
-                    lang_column: bool = False, all_english: bool = False) -> list[int]:
+                    lang_column: bool = False, all_english: bool = False, model: str | None = None) -> list[int]:
     """E3 for what is new: the archive's folders that no increment has read; returns their batch numbers."""
-    if (labelled is not None) + lang_column + all_english != 1:
-        raise ValueError("say which posts are English: labelled, lang_column or all_english")
+    _one_english(labelled, lang_column, all_english, model)
     paths = layout(views)
+    stored_model = LM.load(spark, model) if model else None
     increments = SentimentIncrements(spark, paths["archive"], paths["increments"])
-    return increments.run(lambda lines: sentiment_of_lines(lines, lexicon, labelled, lang_column))
+    return increments.run(lambda lines: sentiment_of_lines(lines, lexicon, labelled, lang_column, stored_model))
 
 
 def sentiment(spark: SparkSession, views: str) -> DataFrame:
@@ -183,16 +199,21 @@ def parser() -> argparse.ArgumentParser:
     records(p)
     p = sub.add_parser("tail")
     records(p)
+    p = sub.add_parser("learn")
+    p.add_argument("--labelled", required=True, help="parquet with text, lang")
+    p.add_argument("--model", required=True, help="folder of the stored language model")
     p = sub.add_parser("speed")
     p.add_argument("--views", required=True)
     p.add_argument("--once", action="store_true")
     p.add_argument("--dedupe-delay")
+    p.add_argument("--model", help="folder of a stored language model")
     records(p)
     p = sub.add_parser("batch")
     p.add_argument("--views", required=True)
     p.add_argument("--increment", action="store_true")
     english = p.add_mutually_exclusive_group(required=True)
     english.add_argument("--labelled", help="parquet with text, lang for language profiles")
+    english.add_argument("--model", help="folder of a stored language model")
     english.add_argument("--lang-column", action="store_true")
     english.add_argument("--all-english", action="store_true")
     words = p.add_mutually_exclusive_group(required=True)
@@ -229,12 +250,15 @@ def main(argv: list[str] | None = None) -> int:
             query.awaitTermination()
     elif args.job == "tail":
         tail(spark, args.records, args.format, options)
+    elif args.job == "learn":
+        learn(spark, spark.read.parquet(args.labelled), args.model)
+        delete_scratch(spark)
     elif args.job == "speed":
-        speed(spark, args.records, args.views, args.format, options, once=args.once, echo=True, dedupe_delay=args.dedupe_delay)
+        speed(spark, args.records, args.views, args.format, options, once=args.once, echo=True, dedupe_delay=args.dedupe_delay, model=args.model)
     elif args.job == "batch":
         labelled = spark.read.parquet(args.labelled) if args.labelled else None
         lexicon = load_lexicon(spark, *args.lexicon) if args.lexicon else default_lexicon()
-        (batch_increment if args.increment else batch)(spark, args.views, lexicon, labelled, args.lang_column, args.all_english)
+        (batch_increment if args.increment else batch)(spark, args.views, lexicon, labelled, args.lang_column, args.all_english, args.model)
         delete_scratch(spark)
     elif args.job == "serve":
         serve(spark, args.views, args.hashtag)

@@ -54,6 +54,18 @@ def words(text: Column | str) -> Column:
     return F.filter(parts, lambda w: w != F.lit(""))
 
 
+def word_trigrams(word: Column) -> Column:
+    """The trigrams of one entry of ``words``."""
+    return F.regexp_extract_all(F.concat(F.lit(" "), word, F.lit(" ")), F.lit(TRIGRAM_WINDOW), 1)
+
+
+def word_counts(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, word, c``: occurrences of each word in the labelled texts."""
+    return documents.where(F.col(lang_col).isNotNull()) \
+        .select(F.col(lang_col).alias("lang"), F.explode(words(text_col)).alias("word")) \
+        .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
+
+
 def train_profiles(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang, gram, n``: trigram counts per language.
 
@@ -61,14 +73,11 @@ def train_profiles(documents: DataFrame, text_col: str = "text", lang_col: str =
     ``(lang, word) -> count`` (partial aggregation map-side), and only the
     distinct words are cut into trigrams: ``n = sum(count * occurrences)``.
     """
-    word_counts = documents.where(F.col(lang_col).isNotNull()) \
-        .select(F.col(lang_col).alias("lang"), F.explode(words(text_col)).alias("word")) \
-        .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
-    grams = word_counts.select("lang", "c", F.explode(trigrams("word")).alias("gram"))
+    grams = word_counts(documents, text_col, lang_col).select("lang", "c", F.explode(trigrams("word")).alias("gram"))
     return grams.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
 
 
-def _languages(profiles: DataFrame) -> list[tuple[str, float]]:
+def language_norms(profiles: DataFrame) -> list[tuple[str, float]]:
     """``(lang, norm2)`` per language, collected: one row per label of the training corpus."""
     norms = profiles.groupBy("lang").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("norm2"))
     return sorted((r["lang"], r["norm2"]) for r in norms.collect())
@@ -110,7 +119,7 @@ def detect(texts: DataFrame, profiles: DataFrame, vocabulary: DataFrame,
     broadcasts them under its threshold, else joins by shuffle.
     """
     profiles = stored(profiles, "profiles")
-    langs = _languages(profiles)
+    langs = language_norms(profiles)
     k = len(langs)
     if not k:
         return texts.select(F.col(id_col).alias("id"), F.lit(None).cast("string").alias("lang")).where(F.lit(False))

@@ -96,5 +96,6 @@ def parsed_records(records: DataFrame) -> DataFrame:
 
 
 def tagged_records(parsed: DataFrame) -> DataFrame:
-    """Both outputs of the speed layer as columns of parsed records: ``value, _id, hashtag, time``."""
-    return _usable(parsed).where(F.col("hashtag") != "").select("value", F.col("p.id").alias("_id"), "hashtag", F.col("p.created").alias("time"))
+    """The outputs of the speed layer as columns of parsed records: ``value, _id, hashtag, time, text``."""
+    return _usable(parsed).where(F.col("hashtag") != "").select(
+        "value", F.col("p.id").alias("_id"), "hashtag", F.col("p.created").alias("time"), F.col("p.text").alias("text"))

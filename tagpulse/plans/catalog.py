@@ -16,6 +16,7 @@ from tagpulse.functions.timeparse import parse_event_time, register_sql_function
 from tagpulse.operators import intervals as I
 from tagpulse.jobs import sentiment_of_lines
 from tagpulse.operators import language as L
+from tagpulse.operators import language_model as LM
 from tagpulse.operators import runs as R
 from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
@@ -336,10 +337,24 @@ def q_detect_language(spark, sf_dir):
     return _detected(spark, sf_dir, archive)
 
 
+def _language_model(spark, sf_dir):
+    """A model trained on the labelled documents, stored, and read back."""
+    path = scratch_path(prepare(spark), "language-model")
+    LM.save(spark, path, _documents(spark, sf_dir))
+    return LM.load(spark, path)
+
+
 def q_sentiment_label_detected(spark, sf_dir):
-    archive = _archive_posts(spark, sf_dir).select("id", "text")
-    english = L.english_ids(_detected(spark, sf_dir, archive))
-    return S.sentiment_view(archive, default_lexicon(), english=english)
+    """English by the stored model, a filter of the archive's rows: they are read once and not joined with themselves."""
+    english = _language_model(spark, sf_dir).english(_archive_posts(spark, sf_dir).select("id", "text"))
+    return S.sentiment_view(english.withColumn("lang", F.lit(S.ENGLISH)), default_lexicon())
+
+
+def q_stream_english(spark, sf_dir):
+    """The English posts as the speed layer writes them, a micro-batch at a time, by the stored model."""
+    from tagpulse.streaming.speed_layer import run_speed_layer
+    spark = prepare(spark)
+    return run_speed_layer(spark, SP.to_records(_posts(spark, sf_dir)), model=_language_model(spark, sf_dir)).english()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -384,4 +399,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "language_profiles": q_language_profiles,
     "detect_language": q_detect_language,
     "sentiment_label_detected": q_sentiment_label_detected,
+    "stream_english": q_stream_english,
 }

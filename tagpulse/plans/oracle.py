@@ -264,4 +264,5 @@ ORACLE_SQL: dict[str, str] = {
     "language_profiles": _with("SELECT lang, gram, n FROM profiles", "profiles"),
     "detect_language": _with("SELECT id, lang FROM detected", "detected"),
     "sentiment_label_detected": _with("SELECT _id, text, sentiment FROM sentiment_d", "sentiment_d"),
+    "stream_english": _with("SELECT id, text FROM english_d", "english_d"),
 }

@@ -35,6 +35,11 @@ def write_rejected(rejected: DataFrame, path: str, batch_id: int) -> None:
     rejected.select("key", "value", "reason").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_english(posts: DataFrame, path: str, batch_id: int) -> None:
+    """The archived posts of a micro-batch that a language model takes for English: ``id, text``; a replay overwrites them."""
+    posts.select("id", "text").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def write_archive_by_day(lines: DataFrame, path: str, batch_id: int) -> None:
     """K3 by date: ``value, date`` rows to ``date=D/batch_id=N``.
 
