@@ -31,7 +31,7 @@ from tagpulse.sinks import manifest
 #: Counts (trigrams times languages) of the largest model that is folded into a plan, about 10 MB.
 INLINE_COUNTS = 1_000_000
 #: Counts (words times languages) of the frequent words that are looked up whole; others are cut into trigrams, with the same result.
-FREQUENT_COUNTS = 200_000
+FREQUENT_COUNTS = 60_000
 #: Versions that stay for running readers.
 KEPT_VERSIONS = 2
 

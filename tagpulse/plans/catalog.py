@@ -345,9 +345,10 @@ def _language_model(spark, sf_dir):
 
 
 def q_sentiment_label_detected(spark, sf_dir):
-    """English by the stored model, a filter of the archive's rows: they are read once and not joined with themselves."""
-    english = _language_model(spark, sf_dir).english(_archive_posts(spark, sf_dir).select("id", "text"))
-    return S.sentiment_view(english.withColumn("lang", F.lit(S.ENGLISH)), default_lexicon())
+    # Detection and labelling both read the archive: it is made once.
+    archive = stored(_archive_posts(spark, sf_dir).select("id", "text"), "archive")
+    english = L.english_ids(_detected(spark, sf_dir, archive))
+    return S.sentiment_view(archive, default_lexicon(), english=english)
 
 
 def q_stream_english(spark, sf_dir):
