@@ -54,5 +54,34 @@ def test_limited_movement(spark):
     assert sum(before[d] != s for d, s in after.items()) < 0.05 * len(after)
 
 
+def test_one_more_shard_takes_little_from_between_the_old_ones(spark):
+    docs = documents(spark, [(i, "t") for i in range(4000)])
+    before = {r.doc_id: r.shard for r in H.assign(docs, 16).collect()}
+    after = {r.doc_id: r.shard for r in H.assign(docs, 17).collect()}
+    moved = [d for d in before if before[d] != after[d]]
+    assert 4000 // 17 <= len(moved) < 0.12 * 4000
+    assert sum(after[d] != 16 for d in moved) < 0.06 * 4000
+
+
+def test_hot_ids_are_ranked_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(H, "PIECE_ROWS", 50)
+    monkeypatch.setattr(H, "RUN_ROWS", 8)
+    rows = [(None, "same")] * 700 + [(None, f"other {i}") for i in range(400)] + [(5, "x")] * 300 + [(i, "y") for i in range(900)]
+    found = H.assign(documents(spark, rows).repartition(6), 16).toPandas()
+    assert len(found) == len(rows) and found["doc_id"].isna().sum() == 1100 and (found["doc_id"] == 5).sum() == 301
+    sizes = found.groupby("shard").size()
+    assert len(sizes) == 16 and sizes.max() - sizes.min() <= 1
+    assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in found.groupby("shard"))
+    again = H.assign(documents(spark, rows[::-1]).repartition(3), 16).toPandas()
+    order = ["shard", "slot"]
+    assert found.sort_values(order).reset_index(drop=True).equals(again.sort_values(order).reset_index(drop=True))
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a", 9, 9, 9, 9, 9)], "doc_id long, text string, arc int, rank int, piece int, n int, run int")
+    (row,) = H.assign(df, 16).collect()
+    assert (row.doc_id, row["size"], row.slot) == (1, 2, 0)
+
+
 def test_empty_table(spark):
     assert H.assign(documents(spark, []), 16).count() == 0
