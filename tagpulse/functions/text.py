@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values (must match the original application's behaviour) -------
@@ -27,6 +27,8 @@ NON_LETTER_PATTERN = r"[^a-zA-Z\s]"
 # as fast as the range form (measured on the sf0.1 text); tests check equality.
 NON_LETTER_PATTERN_JAVA = r"[^\p{Alpha}\s]"
 EDGE_SPACE_PATTERN = r"\A\s+|\s+\z"
+# The characters of \s.
+SPACES = " \t\n\x0b\f\r"
 LETTER_PATTERN = r"[a-zA-Z]"
 # Tokens are separated by runs of whitespace.
 TOKEN_SEPARATOR = r"\s+"
@@ -44,6 +46,15 @@ def normalize_text(c: Column | str) -> Column:
     return F.replace(F.replace(_col(c), F.lit(NEWLINE), F.lit(" ")), F.lit(COLON), F.lit(""))
 
 
+def made_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """``df`` with a column that is computed once for each row.
+
+    Spark merges projections and pushes filters below them, and every use then computes the column anew; nothing is pushed
+    below an explode of the rows' own values."""
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(column)).alias(name)).select(*(df.columns if name in df.columns else [*others, name]))
+
+
 def extract_hashtag(text: Column | str) -> Column:
     """The first ``#\\w+`` preceded by whitespace, or ``""`` when none."""
     return F.regexp_extract(_col(text), HASHTAG_PATTERN, 1)
@@ -61,7 +72,7 @@ def clean_text(text: Column | str) -> Column:
     letters and ``\\s`` remain, so stripping ``\\s`` at both ends is the same.
     """
     stripped = F.regexp_replace(_col(text), NON_LETTER_PATTERN_JAVA, "")
-    return F.lower(F.regexp_replace(stripped, EDGE_SPACE_PATTERN, ""))
+    return F.lower(F.btrim(stripped, F.lit(SPACES)))
 
 
 def matchable_words(words: Iterable[str]) -> list[str]:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.functions.text import normalize_text
+from tagpulse.functions.text import made_once, normalize_text
 from tagpulse.functions.timeparse import render_created
 from tagpulse.sources.tables import read_table
 
@@ -70,12 +70,11 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_posts(raw: DataFrame) -> DataFrame:
-    """Ingest normalisation of ``text`` and ``created``; other columns pass."""
-    return raw.select(
-        *[c for c in raw.columns if c not in ("text", "created")],
-        normalize_text("text").alias("text"),
-        normalize_text("created").alias("created"),
-    )
+    """Ingest normalisation of ``text`` and ``created``; other columns pass.
+
+    The text is made once: the filters and columns that follow would each build it again."""
+    others = [c for c in raw.columns if c not in ("text", "created")]
+    return made_once(raw.select(*others, "text", normalize_text("created").alias("created")), "text", normalize_text("text"))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
