@@ -33,9 +33,15 @@ def dedupe_view(view: DataFrame) -> DataFrame:
 
     Copies of a post have the same text and hence the same label, so this is
     the same as de-duplicating the raw posts first, with less data shuffled.
+
+    The ids are counted first, without their texts: only rows of an id that comes
+    again are grouped, others pass where they are.  The repeated ids are stored, so
+    that Spark knows their size: few are broadcast, many are joined by shuffle.
     """
-    first = view.groupBy("_id").agg(F.min(F.struct("text", "sentiment")).alias("r"))
-    return first.select("_id", "r.text", "r.sentiment")
+    repeated = stored(view.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("_id").alias("again")), "repeated-ids")
+    same = F.col("_id").eqNullSafe(F.col("again"))
+    first = view.join(repeated, same, "left_semi").groupBy("_id").agg(F.min(F.struct("text", "sentiment")).alias("r"))
+    return view.join(repeated, same, "left_anti").select("_id", "text", "sentiment").unionByName(first.select("_id", "r.text", "r.sentiment"))
 
 
 def english_by_column(posts: DataFrame, lang_col: str = "lang") -> DataFrame:
@@ -217,6 +223,21 @@ def sentiment_view(posts: DataFrame, lexicon: Lexicon | LexiconTable, english: D
     return dedupe_view(label(score(stemmed_english(posts, lexicon, english), lexicon)))
 
 
+def with_labels(posts: DataFrame, lexicon: Lexicon, lang_col: str = "lang") -> DataFrame:
+    """The posts' columns without the text, with ``sentiment``: the label of ``label_rows``, null for a post that has none.
+
+    The summary and the labels are then columns of the same rows, so the posts are made and read once for both."""
+    others = [c for c in posts.columns if c != "text"]
+    text = F.when((F.col(lang_col) == ENGLISH) & T.has_letter("text"), T.remove_stop_words(T.clean_text("text"), lexicon.words(STOP)))
+    tokens = T.made_once(T.made_once(posts.select(*others, "text"), "text", text).withColumnRenamed("text", "tokens"), "tokens", T.tokens("tokens"))
+    counted = tokens.select(
+        *others, F.size("tokens").alias("n_tokens"), F.col("tokens").isNotNull().alias("labelled"),
+        T.count_members(F.col("tokens"), lexicon.words(POSITIVE)).alias("pos_hits"),
+        T.count_members(F.col("tokens"), lexicon.words(NEGATIVE)).alias("neg_hits"))
+    sentiment = F.when(F.col("labelled"), sentiment_of(_ratio("pos_hits", "n_tokens"), _ratio("neg_hits", "n_tokens")))
+    return counted.select(*others, sentiment.alias("sentiment"))
+
+
 def label_rows(posts: DataFrame, lexicon: Lexicon | LexiconTable, english: DataFrame | None = None) -> DataFrame:
     """``_id, sentiment`` of every English post, one row per copy: what the serving
     layer reads of the view, so no text is shuffled for it."""
