@@ -345,10 +345,10 @@ def _language_model(spark, sf_dir):
 
 
 def q_sentiment_label_detected(spark, sf_dir):
-    # Detection and labelling both read the archive: it is made once.
-    archive = stored(_archive_posts(spark, sf_dir).select("id", "text"), "archive")
-    english = L.english_ids(_detected(spark, sf_dir, archive))
-    return S.sentiment_view(archive, default_lexicon(), english=english)
+    # Detection and labelling both read the archive: it is made once, with what detection needs.
+    archive = _archive_posts(spark, sf_dir).select("id", "text")
+    english = L.english_texts(archive, _profiles(spark, sf_dir), L.training_vocabulary(_documents(spark, sf_dir)))
+    return S.sentiment_view(english.withColumn("lang", F.lit(S.ENGLISH)), default_lexicon())
 
 
 def q_stream_english(spark, sf_dir):
