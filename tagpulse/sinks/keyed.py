@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tagpulse.session import delete_path, folder_bytes
+from tagpulse.session import delete_path, folder_bytes, stored
 from tagpulse.sinks import manifest
 from tagpulse.sinks.writers import _numbered
 
@@ -80,8 +80,13 @@ class KeyedView:
         values = [F.col(c) for c in self.schema.names if c != self.key]
         # Of rows of one batch the smallest: an order of its own, not that of the files.
         order = [(-F.col("batch_id")).alias("behind"), *values] if self.prefer == LATEST else values
+        if self.prefer == SMALLEST:
+            # Such rows hold texts: only those of a key that comes again are moved.  The keys are counted first.
+            again = stored(rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(self.key), "repeated-keys")
+            once, rows = rows.join(again, self.key, "left_anti").select(*self.schema.names), rows.join(again, self.key, "left_semi")
         first = rows.groupBy(self.key).agg(F.min(F.struct(*order)).alias("r"))
-        return first.select(*[F.col(c) if c == self.key else F.col(f"r.`{c}`").alias(c) for c in self.schema.names])
+        first = first.select(*[F.col(c) if c == self.key else F.col(f"r.`{c}`").alias(c) for c in self.schema.names])
+        return once.unionByName(first) if self.prefer == SMALLEST else first
 
     def _overlaid(self, base: DataFrame, delta: DataFrame) -> DataFrame:
         if self.prefer == LATEST:

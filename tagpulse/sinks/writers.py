@@ -40,18 +40,22 @@ def write_english(posts: DataFrame, path: str, batch_id: int) -> None:
     posts.select("id", "text").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+#: Archived lines are compressed with a fast codec; one task reads a file of it, so a file holds so many lines at most.
+ARCHIVE_OPTIONS = {"compression": "snappy", "maxRecordsPerFile": "20000"}
+
+
 def write_archive_by_day(lines: DataFrame, path: str, batch_id: int) -> None:
     """K3 by date: ``value, date`` rows to ``date=D/batch_id=N``.
 
     Only the partitions that the batch has rows for are replaced, so a replay overwrites the batch's own lines of
     each day and no other batch's."""
     (lines.select("value", "date", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").text(path))
+     .option("partitionOverwriteMode", "dynamic").options(**ARCHIVE_OPTIONS).partitionBy("date", "batch_id").text(path))
 
 
 def write_archive(lines: DataFrame, path: str, batch_id: int) -> None:
     """K3: raw JSON lines, one folder per micro-batch."""
-    lines.select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+    lines.select("value").write.mode("overwrite").options(**ARCHIVE_OPTIONS).text(f"{path}/batch_id={batch_id}")
 
 
 def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:

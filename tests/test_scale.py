@@ -1,0 +1,117 @@
+"""Texts are made, read and moved once."""
+
+from pyspark.sql import functions as F
+
+from tagpulse.functions.lexicon import default_lexicon
+from tagpulse.operators import language as L
+from tagpulse.operators import sentiment as S
+from tagpulse.operators import speed as SP
+from tagpulse.plans import catalog as C
+from tagpulse.schemas import SENTIMENT
+from tagpulse.session import folder_bytes, scratch_path
+from tagpulse.sinks.keyed import SMALLEST, KeyedView
+from tagpulse.sinks.writers import publish_records, write_archive
+from tagpulse.streaming import speed_layer
+
+POSTS = [("1", "great \u00e7a like a word #a tail", "en"), ("1", "bad trash #b", "en"), ("2", "  bad #b the trash", "en"), ("3", "good \r #c", "en"),
+         ("4", "good #d", "de"), ("5", None, "en"), ("6", "123 #7 ", "en"), ("7", "good bad #x", "en"), ("7", "good bad #x", "en"), (None, "good #n", "en"),
+         (None, "bad #n", "en"), ("8", "good #y", None)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _posts(spark):
+    return spark.createDataFrame([(*p, "Mon Jan 01 000001 UTC 2024") for p in POSTS], "id string, text string, lang string, created string")
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_the_text_of_a_post_is_made_once(spark, sf_small):
+    for query in (C.q_tokenize, C.q_hashtag_summary):
+        assert _plan(query(spark, sf_small)).count("#extra") == 1
+    assert _plan(C.q_hashtag_summary(spark, sf_small)).count("regexp_extract") == 1
+
+
+def test_labels_beside_the_summary_are_those_of_the_view(spark):
+    posts, lexicon = _posts(spark), default_lexicon()
+    labelled = S.with_labels(posts, lexicon)
+    assert labelled.columns == ["id", "lang", "created", "sentiment"] and labelled.count() == len(POSTS)
+    assert _rows(labelled.where("sentiment is not null").select("id", "sentiment")) == _rows(S.label_rows(posts, lexicon))
+
+
+def test_views_read_the_posts_in_one_pass(spark, sf_small):
+    summary, labels = C._views(spark, sf_small)
+    assert "Join" not in _plan(summary) and "Join" not in _plan(labels)
+    assert _rows(summary) == _rows(C._summary(spark, sf_small)) and _rows(labels) == _rows(S.label_rows(C._archive_posts(spark, sf_small), default_lexicon()))
+
+
+def test_only_repeated_ids_are_grouped_with_their_texts(spark):
+    view = S.label(S.score(S.stemmed_english(_posts(spark), default_lexicon()), default_lexicon()))
+    first = view.groupBy("_id").agg(F.min(F.struct("text", "sentiment")).alias("r")).select("_id", "r.text", "r.sentiment")
+    found = S.dedupe_view(view)
+    assert _rows(found) == _rows(first)
+    assert "LeftAnti" in _plan(found)
+
+
+LABELLED = [("the cat and the hat", "en"), ("der hund und die katze", "de"), ("le chat et le chien \U0001d49c\U0001d4b7x", "fr")]
+TEXTS = [("1", "the hat"), ("1", "der hund und die katze"), ("2", "und die"), ("3", "12 !"), ("4", None), ("5", "\U0001d49c\U0001d4b7x chien"), ("6", ""),
+         (None, "the"), ("7", "\u0130the THE cat"), ("8", "the"), ("8", "hat cat")]
+
+
+def test_a_text_is_added_up_in_its_row(spark, monkeypatch):
+    labelled = spark.createDataFrame(LABELLED, "text string, lang string")
+    texts = spark.createDataFrame(TEXTS, "id string, text string")
+    args = (L.train_profiles(labelled), L.training_vocabulary(labelled))
+    found, english = L.detect(texts, *args), L.english_texts(texts, *args)
+    assert "Join" not in _plan(found) and "Generate" not in _plan(found)
+    rows, chosen = _rows(found), _rows(english)
+    monkeypatch.setattr(L, "INLINE_COUNTS", 0)
+    assert rows == _rows(L.detect(texts, *args))
+    assert chosen == _rows(L.english_texts(texts, *args)) == _rows(texts.join(L.english_ids(found), "id", "left_semi"))
+
+
+def test_trigrams_of_a_word_are_those_of_the_plan(spark):
+    words = ["a", "ab", "stra\u00dfe", "\U0001d49c", "a\U0001d49cb", "\U0001d49c\U0001d4b7x", "\u00e7a"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", L.word_trigrams(F.col("w"))).collect()
+    assert {r[0]: r[1] for r in rows} == {w: L.grams_of_word(w) for w in words}
+
+
+def test_a_batch_of_the_stream_is_not_persisted(spark):
+    root = scratch_path(spark, "test-batch")
+    value = F.when(F.col("id") == "2", F.lit("no json")).when(F.col("id") == "3", F.lit('[{"id": "9", "text": "an #array"}]')).otherwise(F.to_json(F.struct("id", "text", "created")))
+    publish_records(_posts(spark).select(F.col("id").alias("key"), value.alias("value")), f"{root}/records")
+    records = spark.read.schema("key string, value string").parquet(f"{root}/records")
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    seen = []
+    written, speed_layer.write_rejected = speed_layer.write_rejected, lambda rows, *a: (seen.append(_plan(rows)), written(rows, *a))
+    try:
+        speed_layer.speed_layer_batch(f"{root}/summary", f"{root}/archive", rejected_path=f"{root}/rejected")(records, 0)
+    finally:
+        speed_layer.write_rejected = written
+    assert "InMemoryRelation" not in seen[0] and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    run = speed_layer.SpeedLayerRun(spark, f"{root}/summary", f"{root}/archive", f"{root}/rejected")
+    parsed = SP.parsed_records(records)
+    assert _rows(run.rejected()) == _rows(SP.rejected_with_reason(parsed))
+    assert _rows(run.archive()) == _rows(SP.tagged_records(parsed).select("value"))
+
+
+def test_a_keyed_view_groups_only_the_repeated_keys(spark):
+    rows = [("1", "b", "positive"), ("1", "a", "negative"), ("2", "c", "neutral"), ("3", "d", "neutral")]
+    view = KeyedView(spark, scratch_path(spark, "test-smallest"), SENTIMENT, prefer=SMALLEST)
+    view.upsert(spark.createDataFrame(rows, SENTIMENT), 0)
+    view.upsert(spark.createDataFrame([("3", "a", "positive"), ("4", "e", "positive")], SENTIMENT), 1)
+    expected = [("1", "a", "negative"), ("2", "c", "neutral"), ("3", "a", "positive"), ("4", "e", "positive")]
+    assert _rows(view.read()) == expected and "LeftAnti" in _plan(view._one_each(view._delta([0, 1])))
+    view.merge()
+    assert _rows(view.read()) == expected
+
+
+def test_archived_lines_are_compressed(spark):
+    path = scratch_path(spark, "test-archive")
+    write_archive(spark.range(50_000).selectExpr("'a line of the archive' AS value"), path, 0)
+    assert folder_bytes(spark, path) < 300_000
+    assert spark.read.text(path).select("value").distinct().collect()[0][0] == "a line of the archive" and spark.read.text(path).count() == 50_000
