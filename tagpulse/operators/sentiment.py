@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tagpulse.functions import text as T
 from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon, LexiconTable, word_bits
-from tagpulse.session import stored
+from tagpulse.session import more_tasks, stored
 
 # --- fixed values -------------------------------------------------------------
 ENGLISH = "en"
@@ -172,11 +172,20 @@ def score_by_join(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
     joined on ``(id, text)``, here by ``id`` and the text's hash, with the text
     on one side only.  For distinct keys the join is 1:1 and the result equals
     ``score`` (k copies of a key give k^2 rows, as in the original); kept to
-    show that equality."""
-    toks, rows = T.tokens("text"), stored(keyed(stemmed), "scored")
-    pos = rows.select("id", "key", "text", F.size(toks).alias("n_tokens"),
-                      T.count_members(toks, lexicon.words(POSITIVE)).alias("pos_hits"))
-    neg = rows.select("id", "key", T.count_members(toks, lexicon.words(NEGATIVE)).alias("neg_hits"))
+    show that equality.
+
+    A text is cut into tokens once, when the rows are stored; both passes read
+    their counts, and the negative one reads no text."""
+    rows = T.made_once(keyed(stemmed), "tokens", T.tokens("text"))
+    hits = F.filter("tokens", lambda w: w.isin(T.matchable_words({*lexicon.words(POSITIVE), *lexicon.words(NEGATIVE)})))
+    rows = T.made_once(rows.select("id", "key", "text", F.size("tokens").alias("n_tokens"), hits.alias("hits")), "hits", F.col("hits"))
+    counted = rows.select("id", "key", "text", "n_tokens",
+                          T.count_members(F.col("hits"), lexicon.words(POSITIVE)).alias("pos_hits"),
+                          T.count_members(F.col("hits"), lexicon.words(NEGATIVE)).alias("neg_hits"))
+    with more_tasks(stemmed.sparkSession):
+        scored = stored(counted, "scored")
+    pos = scored.select("id", "key", "text", "n_tokens", "pos_hits")
+    neg = scored.select("id", "key", "neg_hits")
     joined = pos.join(neg, ["id", "key"], "inner").drop("key")
     return joined.withColumn("pos_score", _ratio("pos_hits", "n_tokens")) \
                  .withColumn("neg_score", _ratio("neg_hits", "n_tokens"))

@@ -1,14 +1,17 @@
 """Texts are made, read and moved once."""
 
+import random
+
 from pyspark.sql import functions as F
 
+from tagpulse.functions import text as T
 from tagpulse.functions.lexicon import default_lexicon
 from tagpulse.operators import language as L
 from tagpulse.operators import sentiment as S
 from tagpulse.operators import speed as SP
 from tagpulse.plans import catalog as C
 from tagpulse.schemas import SENTIMENT
-from tagpulse.session import folder_bytes, scratch_path
+from tagpulse.session import folder_bytes, more_tasks, scratch_path
 from tagpulse.sinks.keyed import SMALLEST, KeyedView
 from tagpulse.sinks.writers import publish_records, write_archive
 from tagpulse.streaming import speed_layer
@@ -115,3 +118,29 @@ def test_archived_lines_are_compressed(spark):
     write_archive(spark.range(50_000).selectExpr("'a line of the archive' AS value"), path, 0)
     assert folder_bytes(spark, path) < 300_000
     assert spark.read.text(path).select("value").distinct().collect()[0][0] == "a line of the archive" and spark.read.text(path).count() == 50_000
+
+
+def test_the_score_join_cuts_a_text_once(spark):
+    stemmed = S.stemmed_english(_posts(spark), default_lexicon())
+    found, scored = S.score_by_join(stemmed, default_lexicon()), _rows(S.score(stemmed, default_lexicon()).where("id is not null"))
+    assert "split(" not in _plan(found) and "Join Inner" in _plan(found)
+    # Two copies of a row give four, as the original's join does; a null id joins nothing.
+    assert _rows(found) == sorted([r for r in scored for _ in range(scored.count(r))], key=repr)
+    assert sum(r[0] == "7" for r in _rows(found)) == 4
+
+
+def test_a_tag_is_found_backwards(spark):
+    assert T.ANY_HASHTAG_PATTERN in _plan(_posts(spark).where(T.has_hashtag("text")))
+    rnd = random.Random(5)
+    parts = [" ", "#", "a", "\u00e9", "_", "\n", "\r", "\u0085", "\u2028", "\t", "\x0b", "#b", " #c", "##"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(T.has_hashtag("text"), T.extract_hashtag("text") != "").collect()
+    assert all(a == b for a, b in rows) and {a for a, _ in rows} == {True, False}
+
+
+def test_more_tasks_are_asked_for_inside_only(spark):
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    before = spark.conf.get(name, None)
+    with more_tasks(spark):
+        assert int(spark.conf.get(name)) >= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name, None) == before
