@@ -176,12 +176,13 @@ def score_by_join(stemmed: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     A text is cut into tokens once, when the rows are stored; both passes read
     their counts, and the negative one reads no text."""
-    rows = T.made_once(keyed(stemmed), "tokens", T.tokens("text"))
-    hits = F.filter("tokens", lambda w: w.isin(T.matchable_words({*lexicon.words(POSITIVE), *lexicon.words(NEGATIVE)})))
-    rows = T.made_once(rows.select("id", "key", "text", F.size("tokens").alias("n_tokens"), hits.alias("hits")), "hits", F.col("hits"))
+    rows = T.made_once(keyed(stemmed), "tokens", T.tokens("text")).select("id", "key", "text", F.size("tokens").alias("n_tokens"), "tokens")
+    both = T.matchable_words({*lexicon.words(POSITIVE), *lexicon.words(NEGATIVE)})
+    if len(both) > T.FEW_WORDS:
+        rows = T.made_once(rows, "tokens", F.filter("tokens", lambda w: w.isin(both)))
     counted = rows.select("id", "key", "text", "n_tokens",
-                          T.count_members(F.col("hits"), lexicon.words(POSITIVE)).alias("pos_hits"),
-                          T.count_members(F.col("hits"), lexicon.words(NEGATIVE)).alias("neg_hits"))
+                          T.count_made_members("tokens", lexicon.words(POSITIVE)).alias("pos_hits"),
+                          T.count_made_members("tokens", lexicon.words(NEGATIVE)).alias("neg_hits"))
     with more_tasks(stemmed.sparkSession):
         scored = stored(counted, "scored")
     pos = scored.select("id", "key", "text", "n_tokens", "pos_hits")

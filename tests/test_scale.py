@@ -1,6 +1,7 @@
 """Texts are made, read and moved once."""
 
 import random
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -144,3 +145,30 @@ def test_more_tasks_are_asked_for_inside_only(spark):
     with more_tasks(spark):
         assert int(spark.conf.get(name)) >= 4 * spark.sparkContext.defaultParallelism
     assert spark.conf.get(name, None) == before
+
+
+def test_few_words_are_counted_in_compiled_code(spark, monkeypatch):
+    rnd = random.Random(7)
+    texts = [(" ".join(rnd.choice(["good", "like", "goods", "bad", "a", "trash"]) for _ in range(rnd.randint(1, 12))),) for _ in range(300)]
+    rows = spark.createDataFrame([*texts, (None,)], "text string")
+    rows, words = T.made_once(rows.withColumn("tokens", F.lit(None)), "tokens", T.tokens("text")), {"good", "like", "bad", "no-one"}
+    few = rows.select("text", T.count_made_members("tokens", words).alias("n"))
+    assert "lambda" not in _plan(few)
+    monkeypatch.setattr(T, "FEW_WORDS", 0)
+    many = rows.select("text", T.count_made_members("tokens", words).alias("n"))
+    assert "lambda" in _plan(many) and _rows(few) == _rows(many)
+    assert all(r["n"] == (r["text"] and sum(w in words for w in r["text"].split())) for r in few.collect())
+
+
+def test_the_score_join_counts_a_long_list_too(spark):
+    short = default_lexicon()
+    long = replace(short, positive=short.positive | {f"{a}{b}" for a in "xyz" for b in "xyz"} | {"people"})
+    stemmed = S.stemmed_english(_posts(spark), short)
+    posts = stemmed.where("id is not null").dropDuplicates()
+    for lexicon in (short, long):
+        assert _rows(S.score_by_join(posts, lexicon)) == _rows(S.score(posts, lexicon))
+
+
+def test_merged_partitions_leave_many_tasks_for_a_core(spark):
+    with more_tasks(spark):
+        assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionNum")) >= 16 * spark.sparkContext.defaultParallelism
