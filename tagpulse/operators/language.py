@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -154,14 +155,19 @@ def _sums(grams: dict[str, tuple[int, ...]], kept: dict[str, np.ndarray], words:
     return out
 
 
-def with_dots(texts: DataFrame, per_gram: DataFrame, k: int, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def send(per_gram: DataFrame, k: int) -> Broadcast:
+    """The counts of each trigram, for the tasks.  ``per_gram`` is collected: it holds at most ``INLINE_COUNTS`` counts."""
+    counts = {r[0]: tuple(r[1:]) for r in per_gram.select("gram", *[f"n{i}" for i in range(k)]).collect()}
+    return per_gram.sparkSession.sparkContext.broadcast(counts)
+
+
+def with_dots(texts: DataFrame, per_gram: DataFrame | Broadcast, k: int, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The rows (their columns ``keep``; default: all) with ``d0 .. dk``: for every language the sum of its counts over the text's trigrams (0: none is known).
 
     The letters are told from other characters by Spark, and the tasks add up the words a batch of texts at a time, each
-    distinct word once.  ``per_gram`` is collected: it holds at most ``INLINE_COUNTS`` counts."""
-    spark = texts.sparkSession
-    ship_package(spark)
-    sent = spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in per_gram.select("gram", *[f"n{i}" for i in range(k)]).collect()})
+    distinct word once.  ``per_gram`` is a table or what ``send`` made of it."""
+    ship_package(texts.sparkSession)
+    sent = per_gram if isinstance(per_gram, Broadcast) else send(per_gram, k)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, kept = sent.value, {}

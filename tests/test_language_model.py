@@ -70,6 +70,25 @@ def test_no_exchange_and_one_evaluation(spark, labelled, tmp_path):
     assert [r["id"] for r in english.collect()] == ["1"]
 
 
+def test_texts_are_added_up_outside_of_lambdas(spark, labelled):
+    path = scratch_path(spark, "test-sent")
+    LM.save(spark, path, labelled)
+    model = LM.load(spark, path)
+    texts = ["the dog", "der hund", "Hund, Katze!", "12 34", "", None, "h\u00e4user", "\U0001d49c\U0001d4b7 katze", "the " * 3000 + "und", "catalogue"]
+    posts = spark.createDataFrame([(i, t, str(i)) for i, t in enumerate(texts)], "n int, text string, id string").repartition(3)
+    for found in (model.english(posts), model.detect(posts)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "from_json" not in plan and "transform(" not in plan
+    # The same answers as the column's, columns and their order as they came.
+    of_column = posts.select("id", model.language("text").alias("lang")).where("lang is not null")
+    assert _rows(model.detect(posts)) == _rows(of_column) and 0 < of_column.count() < len(texts)
+    assert model.english(posts).schema == posts.schema
+    assert _rows(model.english(posts)) == _rows(posts.where(model.language("text") == "en"))
+    # Sent once for a loaded model, however many micro-batches ask it.
+    sent = model._constants["sent"]
+    assert model.english(posts).count() == 3 and model._constants["sent"] is sent
+
+
 def test_versions(spark, labelled):
     path = scratch_path(spark, "test-versions")
     with pytest.raises(FileNotFoundError):
