@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tagpulse.functions import text as T
 from tagpulse.functions.lexicon import NEGATIVE, POSITIVE, STOP, Lexicon, LexiconTable, word_bits
-from tagpulse.session import more_tasks, stored
+from tagpulse.session import more_tasks, split_repeated, stored
 
 # --- fixed values -------------------------------------------------------------
 ENGLISH = "en"
@@ -35,13 +35,11 @@ def dedupe_view(view: DataFrame) -> DataFrame:
     the same as de-duplicating the raw posts first, with less data shuffled.
 
     The ids are counted first, without their texts: only rows of an id that comes
-    again are grouped, others pass where they are.  The repeated ids are stored, so
-    that Spark knows their size: few are broadcast, many are joined by shuffle.
+    again are moved and grouped, others pass where they are, however many ids come again.
     """
-    repeated = stored(view.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("_id").alias("again")), "repeated-ids")
-    same = F.col("_id").eqNullSafe(F.col("again"))
-    first = view.join(repeated, same, "left_semi").groupBy("_id").agg(F.min(F.struct("text", "sentiment")).alias("r"))
-    return view.join(repeated, same, "left_anti").select("_id", "text", "sentiment").unionByName(first.select("_id", "r.text", "r.sentiment"))
+    once, again = split_repeated(view.select("_id", "text", "sentiment"), "_id")
+    first = again.groupBy("_id").agg(F.min(F.struct("text", "sentiment")).alias("r"))
+    return once.unionByName(first.select("_id", "r.text", "r.sentiment"))
 
 
 def english_by_column(posts: DataFrame, lang_col: str = "lang") -> DataFrame:

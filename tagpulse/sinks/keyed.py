@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tagpulse.session import delete_path, folder_bytes, stored
+from tagpulse.session import TEXT_ROWS, delete_path, folder_bytes, split_repeated
 from tagpulse.sinks import manifest
 from tagpulse.sinks.writers import _numbered
 
@@ -64,7 +64,8 @@ class KeyedView:
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """The rows of a batch; written again, the batch replaces itself.  Batches count in the order of their numbers."""
-        rows.where(F.col(self.key).isNotNull()).select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/delta/batch_id={batch_id}")
+        rows = rows.where(F.col(self.key).isNotNull()).select(*self.schema.names)
+        rows.write.mode("overwrite").options(**(TEXT_ROWS if self.prefer == SMALLEST else {})).parquet(f"{self.path}/delta/batch_id={batch_id}")
 
     def _base(self, state: dict, buckets: list[str] | None = None) -> DataFrame:
         wanted = state["folders"] if buckets is None else {b: v for b, v in state["folders"].items() if b in buckets}
@@ -82,8 +83,7 @@ class KeyedView:
         order = [(-F.col("batch_id")).alias("behind"), *values] if self.prefer == LATEST else values
         if self.prefer == SMALLEST:
             # Such rows hold texts: only those of a key that comes again are moved.  The keys are counted first.
-            again = stored(rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(self.key), "repeated-keys")
-            once, rows = rows.join(again, self.key, "left_anti").select(*self.schema.names), rows.join(again, self.key, "left_semi")
+            once, rows = split_repeated(rows.select(*self.schema.names), self.key)
         first = rows.groupBy(self.key).agg(F.min(F.struct(*order)).alias("r"))
         first = first.select(*[F.col(c) if c == self.key else F.col(f"r.`{c}`").alias(c) for c in self.schema.names])
         return once.unionByName(first) if self.prefer == SMALLEST else first
@@ -93,6 +93,8 @@ class KeyedView:
             new = self._one_each(delta)
             return base.join(new.select(self.key), self.key, "left_anti").select(*self.schema.names).unionByName(new)
         # The smallest of all rows of a key: base rows of other keys pass without being grouped.
+        if not self._state()[1]["folders"]:
+            return self._one_each(delta.select(*self.schema.names))
         keys = delta.select(self.key).distinct()
         same = base.join(keys, self.key, "left_semi").select(*self.schema.names)
         return base.join(keys, self.key, "left_anti").select(*self.schema.names).unionByName(self._one_each(delta.select(*self.schema.names).unionByName(same)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.session import delete_path
+from tagpulse.session import TEXT_ROWS, delete_path
 
 
 def publish_records(records: DataFrame, target: str, fmt: str = "parquet",
@@ -17,6 +17,8 @@ def publish_records(records: DataFrame, target: str, fmt: str = "parquet",
     the classpath); any file format writes under ``target``.
     """
     writer = records.select("key", "value").write
+    if fmt == "parquet":
+        writer = writer.options(**TEXT_ROWS)
     if options:
         writer = writer.options(**options)
     if fmt == "kafka":
@@ -40,8 +42,9 @@ def write_english(posts: DataFrame, path: str, batch_id: int) -> None:
     posts.select("id", "text").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-#: Archived lines are compressed with a fast codec; one task reads a file of it, so a file holds so many lines at most.
-ARCHIVE_OPTIONS = {"compression": "snappy", "maxRecordsPerFile": "20000"}
+#: Archived lines are compressed with the fast level of the densest codec that needs no native library; one task reads a file of it,
+#: so a file holds so many lines at most.
+ARCHIVE_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "20000"}
 
 
 def write_archive_by_day(lines: DataFrame, path: str, batch_id: int) -> None:

@@ -5,6 +5,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from tagpulse import session
 from tagpulse.functions import text as T
 from tagpulse.functions.lexicon import default_lexicon
 from tagpulse.operators import language as L
@@ -14,7 +15,7 @@ from tagpulse.plans import catalog as C
 from tagpulse.schemas import SENTIMENT
 from tagpulse.session import folder_bytes, more_tasks, scratch_path
 from tagpulse.sinks.keyed import SMALLEST, KeyedView
-from tagpulse.sinks.writers import publish_records, write_archive
+from tagpulse.sinks.writers import publish_records, write_archive, write_archive_by_day
 from tagpulse.streaming import speed_layer
 
 POSTS = [("1", "great \u00e7a like a word #a tail", "en"), ("1", "bad trash #b", "en"), ("2", "  bad #b the trash", "en"), ("3", "good \r #c", "en"),
@@ -114,6 +115,57 @@ def test_a_keyed_view_groups_only_the_repeated_keys(spark):
     assert _rows(view.read()) == expected
 
 
+def _exchanged(df):
+    """Columns of each shuffle of the plan that runs."""
+    return [line.split("hashpartitioning(")[1] for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_many_repeated_keys_move_no_other_text(spark, monkeypatch):
+    """Keys that are too many for a broadcast: texts of other keys stay where they lie."""
+    monkeypatch.setattr(session, "REPEATED_BITS", 128)  # so small that keys meet in a bit by chance
+    rows = [(str(i), f"text {i}", "neutral") for i in range(300)] + [(str(i), f"a text {i}", "positive") for i in range(0, 300, 50)] + [(None, "b", "neutral"), (None, "a", "neutral")]
+    rows += [("7", "text 7", "neutral")]
+    view = KeyedView(spark, scratch_path(spark, "test-many"), SENTIMENT, prefer=SMALLEST)
+    view.upsert(spark.createDataFrame(rows, SENTIMENT), 0)
+    smallest = {}
+    for key, *value in rows:
+        smallest[key] = min(smallest.get(key, value), value)
+    expected = sorted(((k, *v) for k, v in smallest.items()), key=repr)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    given = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        for found, nulls in ((view.read(), 0), (S.dedupe_view(spark.createDataFrame(rows, SENTIMENT)), 1)):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and len(_exchanged(found)) == 1
+            assert _rows(found) == [r for r in expected if nulls or r[0] is not None]
+    finally:
+        spark.conf.set(threshold, given)
+
+
+def _words(rnd, n):
+    return " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+
+
+def test_stored_texts_are_dense(spark, tmp_path):
+    rnd = random.Random(11)
+    common = [_words(rnd, 1) for _ in range(2000)]
+    lines = [" ".join(rnd.choice(common) for _ in range(300)) for _ in range(2000)]
+    rows = spark.createDataFrame([(str(i), line, "neutral") for i, line in enumerate(lines)], SENTIMENT).repartition(2)
+    values = rows.select(F.col("_id").alias("key"), F.col("text").alias("value"))
+    rows.write.option("compression", "snappy").parquet(str(tmp_path / "snappy"))
+    values.select("value").write.option("compression", "snappy").text(str(tmp_path / "lines"))
+    publish_records(values, str(tmp_path / "records"))
+    write_archive(values, str(tmp_path / "archive"), 0)
+    write_archive_by_day(values.withColumn("date", F.to_date(F.lit("2024-01-01"))), str(tmp_path / "days"), 0)
+    view = KeyedView(spark, str(tmp_path / "view"), SENTIMENT, prefer=SMALLEST)
+    view.upsert(rows, 0)
+    size = {p.name: folder_bytes(spark, str(p)) for p in tmp_path.iterdir()}
+    assert max(size["records"], size["view"]) < 0.8 * size["snappy"] and max(size["archive"], size["days"]) < 0.8 * size["lines"]
+    assert _rows(spark.read.parquet(str(tmp_path / "records"))) == _rows(values)
+    assert _rows(spark.read.text(str(tmp_path / "archive")).select("value")) == sorted((line,) for line in lines)
+
+
 def test_archived_lines_are_compressed(spark):
     path = scratch_path(spark, "test-archive")
     write_archive(spark.range(50_000).selectExpr("'a line of the archive' AS value"), path, 0)
