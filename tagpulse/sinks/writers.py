@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.session import TEXT_ROWS, delete_path
+from tagpulse.session import TEXT_ROWS, delete_path, unless_set
 
 
 def publish_records(records: DataFrame, target: str, fmt: str = "parquet",
@@ -45,6 +45,8 @@ def write_english(posts: DataFrame, path: str, batch_id: int) -> None:
 #: Archived lines are compressed with the fast level of the densest codec that needs no native library; one task reads a file of it,
 #: so a file holds so many lines at most.
 ARCHIVE_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "20000"}
+#: Days that a task writes to at once.  Lines of more days are sorted by day first, which moves and spills whole lines.
+OPEN_DAYS = 64
 
 
 def write_archive_by_day(lines: DataFrame, path: str, batch_id: int) -> None:
@@ -52,8 +54,9 @@ def write_archive_by_day(lines: DataFrame, path: str, batch_id: int) -> None:
 
     Only the partitions that the batch has rows for are replaced, so a replay overwrites the batch's own lines of
     each day and no other batch's."""
-    (lines.select("value", "date", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").options(**ARCHIVE_OPTIONS).partitionBy("date", "batch_id").text(path))
+    with unless_set(lines.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_DAYS)):
+        (lines.select("value", "date", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").options(**ARCHIVE_OPTIONS).partitionBy("date", "batch_id").text(path))
 
 
 def write_archive(lines: DataFrame, path: str, batch_id: int) -> None:

@@ -15,7 +15,9 @@ from tagpulse.plans import catalog as C
 from tagpulse.schemas import SENTIMENT
 from tagpulse.session import folder_bytes, more_tasks, scratch_path
 from tagpulse.sinks.keyed import SMALLEST, KeyedView
+from tagpulse.sinks import writers
 from tagpulse.sinks.writers import publish_records, write_archive, write_archive_by_day
+from tagpulse.sources.views import read_archive_days
 from tagpulse.streaming import speed_layer
 
 POSTS = [("1", "great \u00e7a like a word #a tail", "en"), ("1", "bad trash #b", "en"), ("2", "  bad #b the trash", "en"), ("3", "good \r #c", "en"),
@@ -166,6 +168,20 @@ def test_stored_texts_are_dense(spark, tmp_path):
     assert _rows(spark.read.text(str(tmp_path / "archive")).select("value")) == sorted((line,) for line in lines)
 
 
+def test_lines_of_many_days_are_written_by_day(spark, tmp_path, monkeypatch):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(name, None), []
+    lines = spark.range(0, 2000, 1, 3).select(F.col("id").cast("string").alias("value"), F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("id") * 7 % 30).cast("int")).alias("date"))
+    inside = writers.unless_set
+    monkeypatch.setattr(writers, "unless_set", lambda *a: (seen.append(a[1:]), inside(*a))[1])
+    for days in (64, 2):  # beyond as many days the rest is sorted
+        monkeypatch.setattr(writers, "OPEN_DAYS", days)
+        write_archive_by_day(lines, str(tmp_path / str(days)), 0)
+        archive = read_archive_days(spark, str(tmp_path / str(days)))
+        assert _rows(archive.select("value", "date")) == _rows(lines)
+    assert seen == [(name, "64"), (name, "2")] and spark.conf.get(name, None) == before
+
+
 def test_archived_lines_are_compressed(spark):
     path = scratch_path(spark, "test-archive")
     write_archive(spark.range(50_000).selectExpr("'a line of the archive' AS value"), path, 0)
