@@ -50,6 +50,35 @@ def test_labels_beside_the_summary_are_those_of_the_view(spark):
     assert _rows(labelled.where("sentiment is not null").select("id", "sentiment")) == _rows(S.label_rows(posts, lexicon))
 
 
+def test_labels_need_no_text_without_its_stop_words(spark):
+    """Random texts whose lexicon words are stop words too, at the ends and inside, in runs and with any white space between."""
+    rnd, lexicon = random.Random(13), default_lexicon()
+    words = [*lexicon.words(S.POSITIVE), *lexicon.words(S.NEGATIVE), *lexicon.words(S.STOP)[:4], "like", "Like!", "goods", "x1", "7", "#b"]
+    texts = ["".join(rnd.choice(words) + rnd.choice([" ", "  ", "\n", "\t \x0b"]) for _ in range(rnd.randint(0, 7))) for _ in range(2000)] + [None, "like", " like like "]
+    posts = spark.createDataFrame([(str(i), t, "en") for i, t in enumerate(texts)], "id string, text string, lang string")
+    labelled = S.with_labels(posts, lexicon)
+    found = _rows(labelled.where("sentiment is not null").select("id", "sentiment"))
+    assert found == _rows(S.label_rows(posts, lexicon)) and len({label for _, label in found}) == 3
+    assert T.stop_word_pattern(lexicon.words(S.STOP)) not in _plan(labelled)
+    # The counts are those of the text without its stop words.
+    rows = posts.where("text rlike '[a-zA-Z]'").select(T.clean_text("text").alias("text"))
+    stop = lexicon.words(S.STOP)
+    left = T.tokens(T.remove_stop_words("text", stop))
+    rows = T.made_once(rows.withColumn("tokens", F.lit(None)), "tokens", T.tokens("text")).select(
+        F.size(left).alias("n"), (F.size("tokens") - T.count_inside("tokens", stop)).alias("m"),
+        *[c.alias(f"{k}{i}") for i, kind in enumerate((S.POSITIVE, S.NEGATIVE, S.STOP)) for k, c in (
+            ("a", T.count_members(left, lexicon.words(kind))), ("b", T.count_left("tokens", lexicon.words(kind), stop)))])
+    assert all(r["n"] == r["m"] and all(r[f"a{i}"] == r[f"b{i}"] for i in range(3)) for r in rows.collect())
+
+
+def test_the_views_are_written_by_many_tasks(spark, sf_small, monkeypatch):
+    name, seen = "spark.sql.adaptive.coalescePartitions.minPartitionNum", []
+    written = C.stored
+    monkeypatch.setattr(C, "stored", lambda df, label: (seen.append(spark.conf.get(name, None)), written(df, label))[1])
+    C._views(spark, sf_small)
+    assert seen == [str(16 * spark.sparkContext.defaultParallelism)]
+
+
 def test_views_read_the_posts_in_one_pass(spark, sf_small):
     summary, labels = C._views(spark, sf_small)
     assert "Join" not in _plan(summary) and "Join" not in _plan(labels)
